@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import hashing as H
 from .common import fresh, small
 
-BUCKETS, THRESHOLD, SMOOTH = 1 << 16, -0.1, 1.0
+BUCKETS, THRESHOLD, SMOOTH = 1 << 16, -0.25, 1.0
 
 
 def _lower_ascii() -> np.ndarray:
