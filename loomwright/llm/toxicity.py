@@ -22,7 +22,7 @@ from .common import durable, fresh
 
 SEED = "idiot idiots moron morons loser losers scum trash stupid pathetic worthless disgusting clown clowns dumb imbecile jerk bastard bitch asshole fuck fucking shit crap damn hate kill ugly vermin filth garbage retard freak pig dämlich dumm idioten arschloch trottel abschaum wertlos dreck connard salaud imbécile débile ordure minable abruti idiota estúpido imbécil basura escoria inútil patético asqueroso".split()
 YOU = "you your yours yourself u ur du dich dir dein deine ihr euch euer tu te toi ton ta tes vous votre vos usted ustedes tú ti tus vosotros vuestro".split()
-MIN_LABELS, NEAR, BEGINNINGS = 8, 5, (4, 5)
+MIN_LABELS, NEAR, BEGINNINGS = 8, 5, (4, 5, 6, 7)
 _LEET = np.arange(256, dtype=np.uint8)
 for _a, _b in zip(b"013457@$!", b"oieastasi", strict=True):
     _LEET[_a] = _b
