@@ -47,7 +47,7 @@ def valid_url(url: Column) -> Column:
 
 def url_decode(url: Column) -> Column:
     """Lone percent signs and plus signs stay; underscores become blanks; leading slashes go."""
-    safe = F.regexp_replace(F.regexp_replace(url, r"%(?![0-9a-fA-F]{2})", "%25"), r"\+", "%2B")
+    safe = F.regexp_replace(F.regexp_replace(url, r"%(?!\p{XDigit}{2})", "%25"), r"\+", "%2B")
     return F.regexp_replace(F.translate(F.try_url_decode(safe), "_", " "), "^/+", "")
 
 

@@ -39,7 +39,7 @@ def component_groups(edges: DataFrame, least: int = 3) -> DataFrame:
 def chains(edges: DataFrame) -> DataFrame:
     """(a, b, c, d) of all paths of three edges; nodes may repeat."""
     e = lambda x, y: edges.select(F.col("src").alias(x), F.col("dst").alias(y))
-    return e("a", "b").join(e("b", "c"), "b").join(e("c", "d"), "c").select("a", "b", "c", "d")
+    return e("a", "b").join(e("b", "c"), "b").join(e("c", "d"), "c").select(*"abcd")
 
 
 def stars(edges: DataFrame, spokes: int = 3) -> DataFrame:

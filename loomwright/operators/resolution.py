@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PRIORITY = ("human", "implisense", "kompass", "dbpedia", "wikidata")
+PRIORITY = tuple("human implisense kompass dbpedia wikidata".split())
 
 
 def score_pairs(pairs: DataFrame, subjects: DataFrame, staging: DataFrame, score: Column, confidence: float) -> DataFrame:

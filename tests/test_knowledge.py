@@ -60,7 +60,24 @@ def test_patterns(spark):
     assert {r["id"]: r["pattern_frequency"] for r in knowledge.pattern_statistics(t).collect()} == {1: 2, 2: 2, 3: 1}
 
 
-XML = "<config><settings><minConfidence>0.7</minConfidence><t>a</t><t>b</t></settings><simMeasurements><attribute><key>name</key><weight>0.8</weight><feature><similarityMeasure>JaroWinkler</similarityMeasure><weight>0.7</weight></feature><feature><similarityMeasure>MongeElkan</similarityMeasure><weight>0.3</weight><scale>2</scale></feature></attribute><attribute><key>urls</key><weight>0.2</weight><feature><similarityMeasure>UrlCompare</similarityMeasure></feature></attribute></simMeasurements><attributeMapping><attribute><key>city</key><mapping>P1</mapping><mapping>P2</mapping></attribute></attributeMapping></config>"
+def el(tag, *inside):
+    return f"<{tag}>{''.join(inside)}</{tag}>"
+
+
+def feature(name, *more):
+    return el("feature", el("similarityMeasure", name), *more)
+
+
+XML = el(
+    "config",
+    el("settings", el("minConfidence", "0.7"), el("t", "a"), el("t", "b")),
+    el(
+        "simMeasurements",
+        el("attribute", el("key", "name"), el("weight", "0.8"), feature("JaroWinkler", el("weight", "0.7")), feature("MongeElkan", el("weight", "0.3"), el("scale", "2"))),
+        el("attribute", el("key", "urls"), el("weight", "0.2"), feature("UrlCompare")),
+    ),
+    el("attributeMapping", el("attribute", el("key", "city"), el("mapping", "P1"), el("mapping", "P2"))),
+)
 
 
 def test_config():
