@@ -69,7 +69,7 @@ def test_missing_attributes_arent_shared_out(spark):
 
 
 def test_second_order(spark):
-    rows = spark.createDataFrame([(1, i, v) for i, v in enumerate([5.0, 7.1, 5.0, 2.9, 7.1])], "g int, k int, v double")
+    rows = spark.createDataFrame([(1, i, v) for i, v in enumerate(map(float, "5.0 7.1 5.0 2.9 7.1".split()))], "g int, k int, v double")
     got = sorted((r["k"], r["rank"], round(r["delta_top"], 3), round(r["delta_successor"], 3)) for r in text.second_order(rows, ["g"], "v").collect())
     assert got == [(0, 3, 2.1, 2.1), (1, 1, math.inf, 2.1), (2, 3, 2.1, 2.1), (3, 5, 4.2, math.inf), (4, 1, math.inf, 2.1)]
 
