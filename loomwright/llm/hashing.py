@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _P = 0x9E3779B97F4A7C15
 _P_INV = pow(_P, -1, 1 << 64)
 _TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -68,24 +68,29 @@ def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], dtype=np.uint8) if texts.buffers()[2] is not None and texts.buffers()[2].size else np.zeros(0, np.uint8)
-    return data, offsets
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(texts: pa.Array, lower: bool = True) -> Iterator[Slice]:
-    """Null texts count as empty."""
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    if not len(texts):
-        return
-    data, offsets = _buffer(pc.utf8_lower(texts) if lower else texts)
+def ranges(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts of about SLICE_BYTES bytes, so that a large batch is never held in another form as a whole."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
-        to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right"))
         to = min(max(to, at + 1), len(texts))
-        yield Slice(at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+        yield at, to
         at = to
 
 
+def slices(texts: pa.Array, lower: bool = True) -> Iterator[Slice]:
+    """Null texts count as empty."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    for at, to in ranges(texts):
+        part = texts.slice(at, to - at)
+        yield Slice(at, *_buffer(pc.utf8_lower(part) if lower else part))
+
+
 @dataclass
 class Tokens:
     doc: np.ndarray  # index in the slice

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh
+from .hashing import ranges
 
 CUES = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "api-key", "access_key", "private_key")
 _RUN = re.compile(r"[0-9.+() \t-]+")
@@ -142,7 +143,7 @@ _FOUND = "struct<redacted:string,kinds:array<string>,starts:array<int>,ends:arra
 
 def _scan(texts: pa.Array) -> pa.Array:
     new, kinds, starts, ends = [], [], [], []
-    for text in texts.to_pylist():
+    for text in (t for at, to in ranges(texts) for t in texts.slice(at, to - at).to_pylist()):
         spans = find(text)
         new.append(redact(text, spans) if spans else None)
         kinds.append([s[0] for s in spans])
