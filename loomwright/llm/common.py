@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 BROADCAST_ROWS = 2_000_000
+ARROW_BYTES = 4 << 20
 
 
 def session(df: DataFrame) -> SparkSession:
@@ -31,6 +32,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends texts to Python in batches of about ARROW_BYTES, so that long documents fit in the workers.  A session that
+    has its own limit keeps it."""
+    conf, name = session(df).conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name).rstrip("b") == str(64 << 20):  # Spark's default
+        conf.set(name, str(ARROW_BYTES))
+    return df
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``limit`` rows; else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

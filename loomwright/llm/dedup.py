@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import durable, fresh, small
+from .common import bounded, durable, fresh, small
 
 POSITIONS, CHUNKS, THRESHOLD, SHINGLE = 30, 6, 11, 2
 _MULT = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -124,7 +124,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
 
 def signed(docs: DataFrame, positions: int = POSITIONS, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, node, sig, copies): one row per different (doc_id, text); node is a 64-bit hash of both."""
-    text = docs.select("doc_id", "text")
+    text = bounded(docs).select("doc_id", "text")
     rows = text.select("doc_id", F.xxhash64("doc_id", "text").alias("node"), _signature_udf(positions, shingle)("text").alias("sig"))
     return durable(rows.where("sig is not null"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import small
+from .common import bounded, small
 
 K, GAP, COVER = 3, 4, 0.75
 TEMPLATES = {
@@ -80,7 +80,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = K, g
         return gram_lists(texts, k)
 
     t = small(template_positions(docs.sparkSession, TEMPLATES if templates is None else templates, k))
-    rolling = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode(grams("text")).alias("dpos", "gram"))
+    rolling = bounded(docs).select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode(grams("text")).alias("dpos", "gram"))
     votes = rolling.join(t, "gram").withColumn("diagonal", F.col("dpos") - F.col("tpos"))
     by_diagonal = votes.groupBy("doc_id", "copy", "license", "words", "diagonal").agg(F.collect_set("tpos").alias("tpos"), F.min("dpos").alias("lo"), F.max("dpos").alias("hi"))
     w = Window.partitionBy("doc_id", "copy", "license").orderBy("diagonal")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fresh, small
+from .common import bounded, durable, fresh, small
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<![^>]*>", re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -128,7 +128,7 @@ def sequences(pages: DataFrame, payloads: DataFrame) -> DataFrame:
     ``payloads`` has digest and payload (string or binary)."""
     kind = dict(payloads.dtypes)["payload"]
     row = fresh(pages, "row")
-    s = pages.select("page_id", "url", F.arrow_udf(_sequence, _SEQUENCE)("url", "html").alias("seq"))
+    s = bounded(pages).select("page_id", "url", F.arrow_udf(_sequence, _SEQUENCE)("url", "html").alias("seq"))
     plain = s.where(~F.exists("seq", lambda x: x["digest"].isNotNull()))
     shape = lambda look: F.transform("seq", lambda x: F.struct(x["pos"].alias("pos"), x["kind"].alias("kind"), x["text"].alias("text"), x["url"].alias("url"), x["digest"].alias("digest"), x["caption"].alias("caption"), look(x).alias("payload")))
     plain = plain.select("page_id", "url", shape(lambda x: F.lit(None).cast(kind)).alias("sequence"))

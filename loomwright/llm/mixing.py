@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import durable, fresh, small
+from .common import bounded, durable, fresh, small
 
 BLOCK, ALPHA, CELLS = 16384, 0.5, 1024
 
@@ -32,7 +32,7 @@ def n_tokens(column: str):
 def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, alpha: float = ALPHA) -> DataFrame:
     """(slot, source, block, doc_id, n_tokens, begins): the documents in the order of the schedule is the order of
     slot, begins, doc_id.  ``begins`` is the document's first token in its source's shuffled sequence."""
-    d = docs.select("doc_id", "source", n_tokens("text").alias("n_tokens"), F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"))
+    d = bounded(docs).select("doc_id", "source", n_tokens("text").alias("n_tokens"), F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"))
     return _schedule(durable(d.where("n_tokens > 0")), weights, block, alpha)
 
 
@@ -77,7 +77,7 @@ def _schedule(d: DataFrame, weights: dict[str, float] | None, block: int, alpha:
 def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, alpha: float = ALPHA) -> DataFrame:
     """The rows of ``docs`` that the schedule takes, all columns as they are."""
     node = fresh(docs, "node")
-    d = docs.select("doc_id", "source", n_tokens("text").alias("n_tokens"), F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"), F.xxhash64("doc_id", "source", "text").alias("node"))
+    d = bounded(docs).select("doc_id", "source", n_tokens("text").alias("n_tokens"), F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"), F.xxhash64("doc_id", "source", "text").alias("node"))
     d = durable(d.where("n_tokens > 0"))
     taken = _schedule(d, weights, block, alpha)
     left = durable(d.select("node").exceptAll(taken.select("node")))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import bounded, fresh
 from .hashing import ranges
 
 CUES = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "api-key", "access_key", "private_key")
@@ -155,14 +155,14 @@ def _scan(texts: pa.Array) -> pa.Array:
 def personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, text, kinds, starts, ends) for each row with findings: the redacted text, and where, in characters
     of the whole original, each finding was."""
-    found = docs.select("doc_id", F.arrow_udf(_scan, _FOUND)("text").alias("found"))
+    found = bounded(docs).select("doc_id", F.arrow_udf(_scan, _FOUND)("text").alias("found"))
     return found.where("found.redacted is not null").select("doc_id", F.col("found.redacted").alias("text"), "found.kinds", "found.starts", "found.ends")
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
     """Every row, with findings replaced in ``text`` and ``n_chars``, if there is such a column, counted again."""
     found = fresh(docs, "found")
-    out = docs.withColumn(found, F.arrow_udf(_scan, _FOUND)("text"))
+    out = bounded(docs).withColumn(found, F.arrow_udf(_scan, _FOUND)("text"))
     hit = F.col(found)["redacted"].isNotNull()
     cols = {"text": F.coalesce(F.col(found)["redacted"], F.col("text"))}
     if "n_chars" in docs.columns:

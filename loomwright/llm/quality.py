@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import fresh, small
+from .common import bounded, fresh, small
 
 BUCKETS, THRESHOLD, SMOOTH = 1 << 16, -0.25, 1.0
 
@@ -51,7 +51,7 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> np
     """Of each bucket; ``buckets`` rows come to the driver."""
     ids = trusted.select("doc_id").where("doc_id is not null").distinct()
     mark = fresh(ids, "trusted")
-    rows = docs.select("doc_id", "text").join(small(ids.withColumn(mark, F.lit(True))), "doc_id", "left").select("text", F.coalesce(mark, F.lit(False)).alias("trusted"))
+    rows = bounded(docs).select("doc_id", "text").join(small(ids.withColumn(mark, F.lit(True))), "doc_id", "left").select("text", F.coalesce(mark, F.lit(False)).alias("trusted"))
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in rows.mapInArrow(_count(buckets), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]

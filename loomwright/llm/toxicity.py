@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import durable, fresh
+from .common import bounded, durable, fresh
 
 SEED = "idiot idiots moron morons loser losers scum trash stupid pathetic worthless disgusting clown clowns dumb imbecile jerk bastard bitch asshole fuck fucking shit crap damn hate kill ugly vermin filth garbage retard freak pig dämlich dumm idioten arschloch trottel abschaum wertlos dreck connard salaud imbécile débile ordure minable abruti idiota estúpido imbécil basura escoria inútil patético asqueroso".split()
 YOU = "you your yours yourself u ur du dich dir dein deine ihr euch euer tu te toi ton ta tes vous votre vos usted ustedes tú ti tus vosotros vuestro".split()
@@ -218,7 +218,7 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean:
     y = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     y = y.withColumn("h", F.xxhash64("doc_id", F.lit("toxicity")))
     pick = y.where("toxic = 1").orderBy("h", "doc_id").limit(max_toxic).union(y.where("toxic = 0").orderBy("h", "doc_id").limit(max_clean))
-    sample = docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id").where("text is not null")
+    sample = bounded(docs).select("doc_id", "text").join(F.broadcast(pick), "doc_id").where("text is not null")
     sample = durable(sample.select("text", "toxic", F.pmod("h", F.lit(6)).cast("int").alias("part")))
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if min(n.get(0, 0), n.get(1, 0)) < MIN_LABELS:
@@ -252,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean:
 
 
 def _probability(docs: DataFrame, model: Model):
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bounded(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def probability(texts: pa.Array) -> pa.Array:
