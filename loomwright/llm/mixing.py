@@ -3,10 +3,13 @@
 Slot t has the golden-ratio point frac(t * 2654435769 / 2**32), exact in integers, which the cumulative weights
 map to a source.  A source's k-th slot takes its k-th block: its documents, shuffled by a hash, cut into
 blocks of ``block`` tokens (a document belongs to the block in which it begins).  The schedule ends before
-the first source would run out, so that the weights hold and nothing repeats.
+the first source would run out, so that the weights hold and nothing repeats; what the other sources then have
+left is not taken.  With ``whole`` it goes on: the sources with blocks left share the further slots evenly spread in
+proportion to their weights, until every block has its slot.
 
 Tokens are words between blanks.  Default weights are proportional to tokens ** ``alpha``.  Null sources are one
-source, rows without tokens are never scheduled, repeated rows are scheduled as often as they occur.
+source, rows without tokens and sources without a weight are never scheduled, repeated rows are scheduled as
+often as they occur, with ``whole`` always.
 """
 
 from __future__ import annotations
@@ -29,14 +32,14 @@ def n_tokens(column: str):
     return F.arrow_udf(_count, "long")(column)
 
 
-def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, alpha: float = ALPHA) -> DataFrame:
+def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, alpha: float = ALPHA, whole: bool = False) -> DataFrame:
     """(slot, source, block, doc_id, n_tokens, begins): the documents in the order of the schedule is the order of
     slot, begins, doc_id.  ``begins`` is the document's first token in its source's shuffled sequence."""
     d = bounded(docs).select("doc_id", "source", n_tokens("text").alias("n_tokens"), F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"))
-    return _schedule(durable(d.where("n_tokens > 0")), weights, block, alpha)
+    return _schedule(durable(d.where("n_tokens > 0")), weights, block, alpha, whole)
 
 
-def _schedule(d: DataFrame, weights: dict[str, float] | None, block: int, alpha: float) -> DataFrame:
+def _schedule(d: DataFrame, weights: dict[str, float] | None, block: int, alpha: float, whole: bool = False) -> DataFrame:
     spark = d.sparkSession
     # prefix sums in two levels: no task holds a whole source
     cell = F.substring("h", 1, 3)
@@ -71,15 +74,27 @@ def _schedule(d: DataFrame, weights: dict[str, float] | None, block: int, alpha:
     plan = durable(plan.withColumn("block", F.row_number().over(Window.partitionBy("source").orderBy("slot")).cast("long") - 1).select("slot", "source", "block", "blocks"))
     end = plan.where("block >= blocks").agg(F.min("slot").alias("end")).first()["end"]
     plan = plan.where(F.lit(True) if end is None else F.col("slot") < end).select("slot", F.col("source").alias("s2"), F.col("block").alias("b2"))
+    if whole:
+        plan = plan.unionByName(_rest(plan, spark.createDataFrame([(r["source"], r["blocks"], r["w"]) for r in rows], "source string, blocks long, w double"), min(slots, 2**31) if end is None else end))
     return placed.join(plan, F.expr("source <=> s2 and block = b2")).select("slot", "source", "block", "doc_id", "n_tokens", "begins", *(c for c in d.columns if c == "node"))
 
 
-def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, alpha: float = ALPHA) -> DataFrame:
-    """The rows of ``docs`` that the schedule takes, all columns as they are."""
+def _rest(plan: DataFrame, sources: DataFrame, first: int) -> DataFrame:
+    """(slot, s2, b2) of the blocks that ``plan`` leaves, from slot ``first``: a source's k-th is due at (k + 1/2) / weight."""
+    used = plan.groupBy("s2").agg(F.count(F.lit(1)).alias("used"))
+    left = sources.join(F.broadcast(used), F.expr("source <=> s2"), "left").select("source", "blocks", "w", F.coalesce("used", F.lit(0)).alias("used")).where("used < blocks")
+    due = left.withColumn("b2", F.explode(F.sequence(F.col("used"), F.col("blocks") - 1))).withColumn("due", (F.col("b2") - F.col("used") + 0.5) / F.col("w"))
+    return due.select((F.row_number().over(Window.orderBy("due", "source", "b2")).cast("long") + F.lit(first - 1)).alias("slot"), F.col("source").alias("s2"), "b2")
+
+
+def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, alpha: float = ALPHA, whole: bool = False) -> DataFrame:
+    """The rows of ``docs`` that the schedule takes, all columns as they are; with ``whole`` in the order of the schedule."""
     node = fresh(docs, "node")
     d = bounded(docs).select("doc_id", "source", n_tokens("text").alias("n_tokens"), F.md5(F.concat(F.lit("mix"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"), F.xxhash64("doc_id", "source", "text").alias("node"))
     d = durable(d.where("n_tokens > 0"))
-    taken = _schedule(d, weights, block, alpha)
+    taken = _schedule(d, weights, block, alpha, whole)
+    if whole:
+        return _in_order(docs, taken, node)
     left = durable(d.select("node").exceptAll(taken.select("node")))
     gone = left.groupBy("node").count()
     have = d.groupBy("node").count().withColumnRenamed("count", "have")
@@ -93,3 +108,17 @@ def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, bloc
     rank = fresh(some, "rank")
     some = some.withColumn(rank, F.row_number().over(Window.partitionBy(node).orderBy(node))).where(F.col(rank) <= F.col(stay))
     return whole.unionByName(some.select(*docs.columns))
+
+
+def _in_order(docs: DataFrame, taken: DataFrame, node: str) -> DataFrame:
+    """The taken rows of ``docs`` by slot and begin; only the texts of repeated rows are shuffled to number the copies."""
+    slot, begins, rank, copies = (fresh(docs, x) for x in ("slot", "begins", "rank", "copies"))
+    by = Window.partitionBy(node)
+    places = taken.select(F.col("node").alias(node), F.col("slot").alias(slot), F.col("begins").alias(begins))
+    places = durable(places.withColumn(rank, F.row_number().over(by.orderBy(slot, begins))).withColumn(copies, F.count(F.lit(1)).over(by)))
+    marked = docs.withColumn(node, F.xxhash64("doc_id", "source", "text"))
+    once = marked.join(small(places.where(F.col(copies) == 1).drop(rank, copies)), node)
+    more = places.where(F.col(copies) > 1).drop(copies)
+    again = marked.join(small(more.select(node).distinct()), node, "left_semi").withColumn(rank, F.row_number().over(by.orderBy(node)))
+    again = again.join(more, [node, rank]).drop(rank)
+    return once.unionByName(again).orderBy(slot, begins, node).select(*docs.columns)

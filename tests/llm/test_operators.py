@@ -307,6 +307,40 @@ def test_mixing_odd_rows(spark, odd):
     assert {r["source"] for r in mixing.schedule(odd, block=4).collect()} <= {None, "s", "t"}
 
 
+@pytest.mark.parametrize("weights", [None, {"a": 1.0, "b": 3.0, "c": 1.0}])
+def test_whole_mixing_schedules_every_row(spark, weights):
+    rng = np.random.default_rng(4)
+    d = docs(spark, [words(rng, 20) for _ in range(1500)] + ["", None, "x y"], ["a" if i % 3 else "b" for i in range(1500)] + ["c"] * 3)
+    d = d.union(d.where("doc_id in (7, 1502)")).union(d.where("doc_id = 7"))  # copies
+    want = Counter(r["doc_id"] for r in d.where("length(text) > 0").collect())
+    cut, rows = mixing.schedule(d, weights, block=200).collect(), mixing.schedule(d, weights, block=200, whole=True).collect()
+    assert set(map(repr, cut)) < set(map(repr, rows)) and Counter(r["doc_id"] for r in rows) == want
+    source = {r["slot"]: r["source"] for r in rows}
+    assert sorted(source) == list(range(len(source)))
+    last = {x: max(t for t in source if source[t] == x) for x in "ab"}
+    if weights:  # b runs out first, then a is alone
+        assert last["b"] < last["a"]
+    begin = max(r["slot"] for r in cut) + 1
+    middle = [source[t] for t in range(begin, min(last.values()) + 1)]
+    b = weights["b"] / 4 if weights else 1 / (1 + 2**0.5)
+    assert abs(middle.count("b") - b * len(middle)) <= 3
+    out = [r["doc_id"] for r in mixing.mix_documents(d, weights, block=200, whole=True).collect()]
+    assert out == [r["doc_id"] for r in sorted(rows, key=lambda r: (r["slot"], r["begins"]))]
+
+
+def test_pipeline_mixes_every_row_with_tokens(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(5)
+    d = docs(spark, [words(rng, 4000) for _ in range(30)] + ["one two"], ["a"] * 30 + ["b"])
+    assert corpus_pipeline.mix_sources(spark, d, DATA).count() == 31
+
+
+def test_whole_mixing_odd_rows(spark, odd):
+    assert mixing.mix_documents(odd.where("false"), whole=True).count() == 0
+    assert rows_of(mixing.mix_documents(odd, block=4, whole=True)) == rows_of(odd.where(F.col("text").rlike(r"\S")))
+
+
 def plain(v):
     return round(v, 9) if isinstance(v, float) else v
 
