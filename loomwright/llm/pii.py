@@ -24,8 +24,9 @@ CUES = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "ap
 _RUN = re.compile(r"[0-9.+() \t-]+")
 _LEFT = frozenset("0123456789.+()- \t")
 _NUMBER = re.compile(
-    r"(?P<IP>(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d))|(?P<PHONE>\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\d)|(?P<SSN>\d{3}-\d{2}-\d{4})(?![\d-])|(?P<CARD>\d(?:[ -]?\d){12,18})(?!\d)"
+    r"(?P<IP>(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d))|(?P<PHONE>\+\d{1,3}[ -]?\(?\d{2,4}\)?(?:[ -]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\d)|(?P<SSN>\d{3}-\d{2}-\d{4})(?![\d-])|(?P<CARD>\d(?:[ -]?\d){12,18})"
 )
+_GROUP = re.compile(r"(\d+)")
 _VALUE = re.compile(r"""["']?\s{0,3}[=:]\s{0,3}["']?([A-Za-z0-9_\-./+=]{6,})""")
 _AKIA = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -63,16 +64,31 @@ def _iban(s: str) -> bool:
 
 def _email(text: str, at: int, floor: int) -> tuple[int, int] | None:
     lo = at
-    while lo > floor and at - lo < 64 and (text[lo - 1].isalnum() or text[lo - 1] in _LOCAL):
+    while lo > floor and at - lo < 64 and (text[lo - 1].isalnum() or text[lo - 1] in _LOCAL) and text[lo - 1 : lo + 1] != "..":
         lo -= 1
     while lo < at and text[lo] in _LOCAL:
         lo += 1
     m = _DOMAIN.match(text, at + 1)
-    if lo == at or text[at - 1] == "." or ".." in text[lo:at] or not m:
+    if lo == at or text[at - 1] == "." or not m:
         return None
     return lo, m.end()
 
 
+def _card(text: str, lo: int, to: int) -> int | None:
+    """The greatest end, at a separator's or the run's, with which the 13 to 19 digits from ``lo`` are a valid card."""
+    digits, at, ends = "", lo, []
+    while m := _GROUP.match(text, at, to):
+        digits += m[1]
+        if len(digits) > 19:
+            break
+        ends.append((len(digits), m.end()))
+        at = m.end() + (text[m.end() : m.end() + 1] in (" ", "-"))
+    for n, end in reversed(ends):
+        if n >= 13 and _luhn(digits[:n]) and _edge(text, lo, end):
+            return end
+    return None
+
+
 def _edge(text: str, lo: int, hi: int) -> bool:
     return (not lo or not text[lo - 1].isalnum()) and (hi == len(text) or not text[hi].isalnum())
 
@@ -90,8 +106,9 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
         found: list[tuple[str, int, int]] = []
         if anchor == "@":
             if span := _email(text, lo, 0):
-                while out and out[-1][1] >= span[0]:  # digits of a local part
-                    out.pop()
+                while out and span[0] < out[-1][2] <= lo:  # digits of a local part, or with a sign before it
+                    span = min(span[0], out.pop()[1]), span[1]
+                    floor = out[-1][2] if out else 0
                 if not out or out[-1][2] <= span[0]:
                     found = [("EMAIL", *span)]
         elif lo < floor:
@@ -106,10 +123,14 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 while start > max(floor, read) and text[start - 1] in _LEFT:
                     start -= 1
                 read = _RUN.match(text, start).end()
-                for m in _NUMBER.finditer(text, start, read):
+                while m := _NUMBER.search(text, start, read):
                     kind, a, b = m.lastgroup, m.start(), m.end()
+                    card = _card(text, a, read) if kind == "CARD" else None
+                    if kind == "CARD":
+                        b = card or _GROUP.match(text, a).end()
+                    start = b
                     digits = re.sub(r"\D", "", m[0])
-                    ok = {"IP": lambda x=m[0]: all(int(o) < 256 for o in x.split(".")), "CARD": lambda x=digits: _luhn(x), "PHONE": lambda x=digits: 7 <= len(x) <= 15, "SSN": lambda: True}[kind]
+                    ok = {"IP": lambda x=m[0]: all(int(o) < 256 for o in x.split(".")), "CARD": lambda x=card: x is not None, "PHONE": lambda x=digits: 7 <= len(x) <= 15, "SSN": lambda: True}[kind]
                     if ok() and _edge(text, a, b) and not (a and text[a - 1] == "@"):
                         found.append((kind, a, b))
         elif anchor == "AKIA":

@@ -471,6 +471,18 @@ def test_boundaries(text, want):
     assert [f"{k}:{text[a:b]}" for k, a, b in pii.find(text)] == want
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("4111111111111111@x.com", ["EMAIL:4111111111111111@x.com"]), ("555-123-4567@vtext.com", ["EMAIL:555-123-4567@vtext.com"]), ("+491701234567@x.de", ["EMAIL:+491701234567@x.de"]), ("10.0.0.25 4111111111111111@x.com", ["IP:10.0.0.25", "EMAIL:4111111111111111@x.com"]),
+        ("4337166598464399 12/27", ["CARD:4337166598464399"]), ("4337166598464399 123", ["CARD:4337166598464399"]), ("123 4337166598464399", ["CARD:4337166598464399"]), ("4337-1665-9846-4399 123", ["CARD:4337-1665-9846-4399"]), ("4337166598464399 123-45-6789", ["CARD:4337166598464399", "SSN:123-45-6789"]), ("4337166598464398 123", []), ("4337166598464399" * 3, []),
+        ("see..bob@x.org", ["EMAIL:bob@x.org"]), ("a..b.c@x.org d@y.org", ["EMAIL:b.c@x.org", "EMAIL:d@y.org"]), ("bob..@x.org", []),
+    ],
+)
+def test_numbers_before_at_signs_and_beside_cards(text, want):
+    assert [f"{k}:{text[a:b]}" for k, a, b in pii.find(text)] == want
+
+
 def test_findings_equal_a_plain_search():
     """Whatever surrounds them, findings are what a search of every position gives."""
     rng = np.random.default_rng(13)
