@@ -437,6 +437,42 @@ def motif_star(s, d):
     return graph.stars(_trade(s, d), 3)
 
 
+def _whole_edges(s: SparkSession, d: str) -> DataFrame:
+    """Customer to order and order to supplier, of all rows; ids are key * 3 + 0, 1 and 2 for the three kinds."""
+    o = table(s, d, "orders").select((F.col("o_custkey") * 3).alias("src"), (F.col("o_orderkey") * 3 + 1).alias("dst"))
+    return o.union(table(s, d, "lineitem").select((F.col("l_orderkey") * 3 + 1).alias("src"), (F.col("l_suppkey") * 3 + 2).alias("dst"))).distinct()
+
+
+def _whole_trade(s: SparkSession, d: str) -> DataFrame:
+    j = table(s, d, "lineitem").join(table(s, d, "orders"), F.expr("l_orderkey = o_orderkey")).join(table(s, d, "customer"), F.expr("o_custkey = c_custkey")).join(table(s, d, "supplier"), F.expr("l_suppkey = s_suppkey"))
+    return j.select(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).distinct()
+
+
+@query("connected_components_all")
+def connected_components_all(s, d):
+    return graph.components(_whole_edges(s, d))
+
+
+@query("degrees_all")
+def degrees_all(s, d):
+    return graph.degrees(_whole_edges(s, d))
+
+
+@query("company_groups_all")
+def company_groups_all(s, d):
+    return graph.component_groups(_whole_edges(s, d)).select("component", "size", F.concat_ws(",", F.transform("nodes", lambda x: x.cast("string"))).alias("nodes"))
+
+
+@query("motif_chain_all")
+def motif_chain_all(s, d):
+    return graph.chains(_whole_trade(s, d))
+
+
+@query("motif_star_all")
+def motif_star_all(s, d):
+    return graph.stars(_whole_trade(s, d), 3)
+
+
 # ---------------------------------------------------------------- values, exports, windows
 
 
