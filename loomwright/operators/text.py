@@ -70,6 +70,21 @@ def cosine_join(tfidf: DataFrame, pairs: DataFrame) -> DataFrame:
     return out.select("a", "b", F.when((F.col("na") > 0) & (F.col("nb") > 0), F.coalesce("dot", F.lit(0.0)) / (F.col("na") * F.col("nb"))).otherwise(0.0).alias("cosine"))
 
 
+def cosine_search(tfidf: DataFrame, least: float = 0.8) -> DataFrame:
+    """(a, b, cosine), a < b, of all pairs of documents with a cosine of at least ``least`` > 0.  Candidates share a term of both prefixes: rarest terms
+    first, a prefix ends where the norm of the rest is under ``least``, so that what only the rests share can't reach it."""
+    if least <= 0:
+        raise ValueError("least must be over 0")
+    rare = Window.partitionBy("doc_id").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    square = F.col("tfidf") * F.col("tfidf")
+    df = tfidf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    w = tfidf.drop("df").join(df, "term").withColumn("rest", F.sum(square).over(rare)).withColumn("all", F.sum(square).over(Window.partitionBy("doc_id")))
+    prefix = w.where(F.col("all") > 0).where(F.col("rest") >= F.col("all") * (least * least - 1e-9)).select("doc_id", "term")
+    b = prefix.select(F.col("doc_id").alias("b"), "term")
+    pairs = prefix.withColumnRenamed("doc_id", "a").join(b, "term").where("a < b").select("a", "b").distinct()
+    return cosine_join(tfidf, pairs).where(F.col("cosine") >= least)
+
+
 def second_order(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """Rank, distance to the top and to the next lower different value; infinite where there is none."""
     down = Window.partitionBy(*group).orderBy(F.desc(value))

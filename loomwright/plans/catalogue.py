@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import normalise as norm
 from ..functions import similarity as sim
 from ..operators import aliases, blocking, embeddings, graph, learning, relations, resolution, text, versions
-from ..session import table
+from ..session import durable, table
 from ..sources.dumps import node_lines
 from ..streaming.windows import windowed_counts
 
@@ -304,6 +304,11 @@ def cosine_pairs(s, d):
     return text.cosine_join(_tfidf(s, d), p).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
+@query("cosine_search")
+def cosine_search(s, d):
+    return text.cosine_search(durable(_tfidf(s, d))).select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
 @query(
     "second_order_features",
     "with v as (select l_orderkey as g, l_linenumber as k, l_quantity as v from lineitem), l as (select g, v, lead(v) over (partition by g order by v desc) as nxt from (select distinct g, v from v)) select v.g, k, v.v, rank() over (partition by v.g order by v.v desc)::int as rank, case when v.v = max(v.v) over (partition by v.g) then 'infinity'::double else max(v.v) over (partition by v.g) - v.v end as delta_top, coalesce(v.v - nxt, 'infinity'::double) as delta_successor from v join l on v.g = l.g and v.v = l.v",

@@ -14,7 +14,7 @@ from .catalogue import QUERIES
 
 PIPELINES = {
     "deduplication": ["block_stats", "dedup_candidates", "entity_resolution", "unmatched_to_master"],
-    "textmining": ["page_links", "clean_links", "redirect_closure", "link_analysis_alias", "link_analysis_page", "alias_scores", "alias_search", "term_frequency", "document_frequency", "tfidf", "cosine_pairs", "second_order_features"],
+    "textmining": ["page_links", "clean_links", "redirect_closure", "link_analysis_alias", "link_analysis_page", "alias_scores", "alias_search", "term_frequency", "document_frequency", "tfidf", "cosine_search", "second_order_features"],
     "fusion": ["source_priority_fusion", "relation_fusion", "connect_masters"],
     "curation": ["change_history", "version_as_of", "version_diff", "csv_nodes"],
     "graph": ["degrees_all", "connected_components_all", "company_groups_all", "motif_chain_all"],
