@@ -371,7 +371,7 @@ def subclass_paths(s, d):
 
 @query("alias_search")
 def alias_search(s, d):
-    words = [r["a"] for r in table(s, d, "benchmark").select(F.array_join(F.slice(text.words(F.lower("text")), 1, 3), " ").alias("a")).collect()]
+    words = [r["a"] for r in table(s, d, "benchmark").select(F.array_join(text.words(F.lower("text")), " ").alias("a")).collect()]
     docs = table(s, d, "documents").select("doc_id", text.words(F.lower("text")).alias("tokens"))
     return aliases.search(docs, words)
 
