@@ -216,6 +216,11 @@ def datasource_update(s, d):
     return resolution.update_from_source(table(s, d, "customer").where("c_custkey % 2 = 0"), table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey")
 
 
+@query("datasource_update_all", "select distinct o_custkey as c_custkey, case when c.c_custkey is null then 'create' else 'overwrite' end as action from orders left join customer c on o_custkey = c.c_custkey")
+def datasource_update_all(s, d):
+    return resolution.update_from_source(table(s, d, "customer"), table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey")
+
+
 @query("unmatched_to_master", _SCORED + ", m as (select * from (select *, row_number() over (partition by staging order by score desc, subject) as r from y) where r = 1) select p_partkey as id, coalesce('m' || subject::varchar, 'master-' || p_partkey::varchar) as master, coalesce(score, 1.0) as score from part left join m on p_partkey = staging where p_partkey % 2 = 1")
 def unmatched_to_master(s, d):
     a, b = _sides(s, d)
@@ -235,6 +240,12 @@ def name_relation_matching(s, d):
     return resolution.match_names(p.select(F.col("p_name").alias("name")), p.where("p_partkey % 97 < 3").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("master")))
 
 
+@query("name_relation_matching_all", "select p_name as name, min(p_partkey) as id from part group by 1 having count(distinct p_partkey) = 1 or count(distinct p_brand) = 1")
+def name_relation_matching_all(s, d):
+    p = table(s, d, "part")
+    return resolution.match_names(p.select(F.col("p_name").alias("name")), p.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("master")))
+
+
 @query("upsert_columns", "select c_custkey, c_mktsegment, case when c_custkey % 3 = 0 then 0.0 else c_acctbal end as c_acctbal from customer")
 def upsert_columns(s, d):
     c = table(s, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
