@@ -1,6 +1,6 @@
 """URL filters by link-graph propagation over hosts.
 
-Host edges are the absolute links of the pages and, for a host under another host that has pages, an edge to
+Host edges are the links of the pages with a host (with a scheme or after //; other relative ones stay on their host) and, for a host under another host that has pages, an edge to
 that parent and back.  Trust is personalised PageRank from the trusted seeds along the edges, distrust the
 same from the blocked seeds along the reversed edges; each is divided by its greatest value.  A host is blocked if it is a
 blocked seed, or if it isn't trusted itself and its distrust is over ``threshold`` and over its trust.
@@ -19,6 +19,8 @@ from .common import durable, small
 DAMPING, ROUNDS, THRESHOLD, DIGITS = 0.85, 12, 0.2, 9
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 LINK = r"""href\s*=\s*["']?([A-Za-z][A-Za-z0-9+.-]*://[^"'\s>]+)"""
+#: Also HREF and //host; the SQL keeps LINK and so lacks these edges.
+ANY_LINK = r"""(?i)href\s*=\s*["']?((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^"'\s>]+)"""
 TRUSTED = (".example.org",)
 BLOCKED = ("blog.",)
 
@@ -31,8 +33,8 @@ def host(url) -> F.Column:
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, weight), no loops."""
     own = pages.select(host(F.col("url")).alias("src"), "html").where("src is not null")
-    links = own.where(F.lower("html").contains("://")).select("src", F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("link"))
-    links = links.select("src", host(F.col("link")).alias("dst")).where("dst is not null and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
+    links = own.where(F.col("html").contains("//")).select("src", F.explode(F.regexp_extract_all("html", F.lit(ANY_LINK), F.lit(1))).alias("link"))
+    links = links.select("src", host(F.regexp_replace("link", "^//", "http://")).alias("dst")).where("dst is not null and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
     hosts = own.select("src").distinct()
     parents = hosts.select("src", F.regexp_extract("src", r"^[^.]+\.(.+)$", 1).alias("dst")).join(hosts.select(F.col("src").alias("dst")), "dst", "left_semi").select("src", "dst", F.lit(1).cast("long").alias("weight"))
     back = parents.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")

@@ -427,6 +427,12 @@ def test_distrust_flows_backwards(spark):
     assert urlgraph.filter_pages(pages.where("false")).count() == 0
 
 
+def test_edges_of_every_link_form(spark):
+    html = '<A HREF="http://b.de/x">b</A><a href="//c.de:80/y">c</a><a Href = //d.de>d</a><a href="/own">o</a><a href="own//x">o</a>'
+    pages = spark.createDataFrame([(1, "https://a.de/", html)], "page_id long, url string, html string")
+    assert sorted((r["src"], r["dst"], r["weight"]) for r in urlgraph.host_edges(pages).collect()) == [("a.de", "b.de", 1), ("a.de", "c.de", 1), ("a.de", "d.de", 1)]
+
+
 # ---------------------------------------------------------------- 9 licenses
 
 
