@@ -3,9 +3,12 @@
 Features: densities of a seed lexicon and of words and word beginnings learned from the labels, second-person
 proximity of their hits, capitals, punctuation and obfuscation rates.  The model is fitted on a bounded sample
 of labelled rows (``max_toxic`` and ``max_clean``, taken in the order of a hash of doc_id): half for the lexicon,
-a third for the trees, the rest for the calibration.  Every document's whole text is scored.
+a third for the trees, the rest for the calibration, each class dealt evenly to the three.  Every document's whole text is scored.
 
-Null and empty texts score 0.  With fewer than ``MIN_LABELS`` labels of either class nothing is toxic.
+Null and empty texts score 0.  Repeated rows, and rows that share a doc_id, are scored each by its own text; repeated labels of a doc_id count
+once, as toxic if one says so; labels without a doc_id or a verdict don't count.  A score that ties with the threshold is toxic.  Where there aren't
+six labelled texts of either class no trees can be fitted: then the seed lexicon alone decides (``unlabelled="seed"``: a text is
+toxic if a twenty-fifth of its words or more are hits), or ``unlabelled="raise"`` raises.  An empty table has no scores.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
@@ -22,7 +25,7 @@ from .common import bounded, durable, fresh
 
 SEED = "idiot idiots moron morons loser losers scum trash stupid pathetic worthless disgusting clown clowns dumb imbecile jerk bastard bitch asshole fuck fucking shit crap damn hate kill ugly vermin filth garbage retard freak pig dämlich dumm idioten arschloch trottel abschaum wertlos dreck connard salaud imbécile débile ordure minable abruti idiota estúpido imbécil basura escoria inútil patético asqueroso".split()
 YOU = "you your yours yourself u ur du dich dir dein deine ihr euch euer tu te toi ton ta tes vous votre vos usted ustedes tú ti tus vosotros vuestro".split()
-MIN_LABELS, NEAR, BEGINNINGS = 8, 5, (4, 5, 6, 7)
+NEAR, BEGINNINGS, PARTS = 5, (4, 5, 6, 7), 6
 _LEET = np.arange(256, dtype=np.uint8)
 for _a, _b in zip(b"013457@$!", b"oieastasi", strict=True):
     _LEET[_a] = _b
@@ -173,6 +176,18 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, np.repeat([p[0] for p in pools], 2)
 
 
+@dataclass
+class SeedModel:
+    """What decides without labels: the density of seed words, plain or disguised."""
+
+    lexicon: Lexicon
+    certain: float = 0.08
+
+    def probability(self, texts: pa.Array) -> np.ndarray:
+        x = features(texts, self.lexicon)
+        return np.minimum(1.0, (x[:, FEATURES.index("seed")] + x[:, FEATURES.index("leet")]) / self.certain)
+
+
 @dataclass
 class Model:
     lexicon: Lexicon
@@ -213,16 +228,20 @@ def _count_beginnings(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(size[at], pa.int32()), pa.array(h[at].view(np.int64)), pa.array(np.add.reduceat(tox, at).astype(np.int64)), pa.array(np.add.reduceat(1 - tox, at).astype(np.int64))], schema=schema)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: int = 9000) -> Model | None:
-    """None if there are too few labels.  Repeated labels of a doc_id count once, as toxic if one says so."""
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean: int = 9000, unlabelled: str = "seed") -> Model | SeedModel:
+    if unlabelled not in ("seed", "raise"):
+        raise ValueError("unlabelled is seed or raise")
     y = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     y = y.withColumn("h", F.xxhash64("doc_id", F.lit("toxicity")))
     pick = y.where("toxic = 1").orderBy("h", "doc_id").limit(max_toxic).union(y.where("toxic = 0").orderBy("h", "doc_id").limit(max_clean))
     sample = bounded(docs).select("doc_id", "text").join(F.broadcast(pick), "doc_id").where("text is not null")
-    sample = durable(sample.select("text", "toxic", F.pmod("h", F.lit(6)).cast("int").alias("part")))
+    turn = F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id", F.xxhash64("text"))) - 1  # of the bounded sample
+    sample = durable(sample.select("text", "toxic", F.pmod(turn, F.lit(PARTS)).cast("int").alias("part")))
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if min(n.get(0, 0), n.get(1, 0)) < MIN_LABELS:
-        return None
+    if min(n.get(0, 0), n.get(1, 0)) < PARTS:
+        if unlabelled == "raise":
+            raise ValueError(f"{PARTS} labelled texts of each class are needed; there are {n}")
+        return SeedModel(Lexicon(H.hashes_of(SEED), H.hashes_of([]), {}, H.hashes_of(YOU)))
     first = sample.where("part < 3")
     m = {r["toxic"]: r["n"] for r in first.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     nt, nc = m.get(1, 0) + 1, m.get(0, 0) + 1
@@ -245,13 +264,11 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 3000, max_clean:
     order = np.lexsort((*x.T, t, part))
     x, t, part = x[order], t[order], part[order]
     fit = part < 5
-    if len({*t[fit]}) < 2 or len({*t[~fit]}) < 2:
-        return None
     trees = Trees().fit(x[fit], t[fit])
     return Model(lex, trees, *isotonic(trees.decide(x[~fit]), t[~fit]))
 
 
-def _probability(docs: DataFrame, model: Model):
+def _probability(docs: DataFrame, model: Model | SeedModel):
     shared = bounded(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
@@ -263,8 +280,7 @@ def _probability(docs: DataFrame, model: Model):
 
 def scored(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """(doc_id, probability) of every row."""
-    model = train(docs, labels, **params)
-    return docs.select("doc_id", (F.lit(0.0) if model is None else _probability(docs, model)).alias("probability"))
+    return docs.select("doc_id", _probability(docs, train(docs, labels, **params)).alias("probability"))
 
 
 def toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **params) -> DataFrame:
@@ -275,7 +291,5 @@ def toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **params)
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **params) -> DataFrame:
     """The rows of ``docs`` under the threshold, all columns as they are."""
     model = train(docs, labels, **params)
-    if model is None:
-        return docs
     p = fresh(docs, "probability")
     return docs.withColumn(p, _probability(docs, model)).where(F.col(p) < threshold).drop(p)
