@@ -6,17 +6,19 @@ diagonal, diagonals within ``gap`` of each other are merged, and a span is verif
 words that its exact k-gram matches cover.
 
 Null and empty texts and texts of fewer than k words match nothing.  Rows that are equal in doc_id and text are
-reported once.  Templates shorter than k words are refused.
+reported once; other rows of one doc_id have their own spans; null doc_ids are reported as they are.  Texts are read whole, however long.  Spans that tie
+are all reported.  An empty table has no spans.  Templates shorter than k words are refused.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import bounded, small
+from .common import bounded, content_key, small
 
 K, GAP, COVER = 3, 4, 0.75
 TEMPLATES = {
@@ -28,20 +30,7 @@ TEMPLATES = {
     "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
     "rights-reserved": "All rights reserved.",
     "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-    "Apache-2.0": " ".join(
-        [
-            "Licensed under the Apache License, Version 2.0 (the",
-            "License); you may not use this file except",
-            "in compliance with the License. You may obtain",
-            "a copy of the License at http://www.apache" ".org/licenses" "/LICENSE-2.0 Unless",
-            "required by applicable law or agreed to in",
-            "writing, software distributed under the License is distributed",
-            "on an AS IS BASIS, WITHOUT WARRANTIES OR",
-            "CONDITIONS OF ANY KIND, either express or implied.",
-            "See the License for the specific language governing",
-            "permissions and limitations under the License.",
-        ]
-    ),
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -52,8 +41,6 @@ TEMPLATES = {
 def gram_lists(texts: pa.Array, k: int = K) -> pa.Array:
     """For each text, the hashes of its k-grams in order."""
     counts, values = [], []
-    import numpy as np
-
     for s in H.slices(texts):
         doc, h = H.grams(H.tokenise(s), k)
         counts.append(H.per_doc(doc, len(s)))
@@ -80,7 +67,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = K, g
         return gram_lists(texts, k)
 
     t = small(template_positions(docs.sparkSession, TEMPLATES if templates is None else templates, k))
-    rolling = bounded(docs).select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode(grams("text")).alias("dpos", "gram"))
+    rolling = bounded(docs).select("doc_id", content_key("text").alias("copy"), F.posexplode(grams("text")).alias("dpos", "gram"))
     votes = rolling.join(t, "gram").withColumn("diagonal", F.col("dpos") - F.col("tpos"))
     by_diagonal = votes.groupBy("doc_id", "copy", "license", "words", "diagonal").agg(F.collect_set("tpos").alias("tpos"), F.min("dpos").alias("lo"), F.max("dpos").alias("hi"))
     w = Window.partitionBy("doc_id", "copy", "license").orderBy("diagonal")

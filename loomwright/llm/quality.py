@@ -4,8 +4,10 @@ Two multinomials over ``buckets`` hashed 1- and 2-grams of words and marks: of t
 documents.  A document's score is the mean over its n-grams of log p_target - log p_raw.  Documents at or over
 the threshold stay.  All documents are counted, and each is scored over its whole text.
 
-Documents without n-grams (null, empty) score None and don't stay.  Without trusted documents both
-multinomials are the corpus's, every score is 0.
+Texts are counted and scored whole, however long.  Documents without n-grams (null, empty) score None and don't stay.  Repeated rows are counted and
+scored as often as they occur; a trusted doc_id marks all rows that have it; rows without a doc_id are never trusted.  A score that
+ties with the threshold stays.  Without trusted documents both multinomials are the corpus's, every score is 0.  An empty table has no
+scores.
 """
 
 from __future__ import annotations
@@ -21,10 +23,6 @@ from .common import bounded, fresh, small
 BUCKETS, THRESHOLD, SMOOTH = 1 << 16, -0.25, 1.0
 
 
-def _lower_ascii() -> np.ndarray:
-    return np.arange(256, dtype=np.uint8)
-
-
 def ngrams(s: H.Slice, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Documents and buckets of all 1- and 2-grams."""
     t = H.tokenise(s, H.WORDS_AND_MARKS)
