@@ -5,9 +5,13 @@ positions at which their signatures differ; 1 - distance / K estimates the Jacca
 is split into chunks.  By the pigeonhole principle a pair within the threshold has a chunk with at most
 ``threshold // chunks`` errors, so every way to leave out that many positions of a chunk gives a key, and the
 pair shares a key.  Every bucket is then verified on whole signatures, whatever its size: no pair within the
-threshold is missed.  Equal signatures are merged first, so that exact copies cost one key set.
+threshold is missed.  Buckets of more than TILE signatures are verified by pairs of tiles, so that no task holds a whole
+one; a bucket of m different signatures costs at most m * m / 2 comparisons.  Equal signatures are merged first, so that exact copies cost
+one key set.
 
-Documents without words (null, empty, punctuation only) duplicate nothing.
+Whole texts are signed, however long.  Documents without words (null, empty, punctuation only) duplicate nothing.  Repeated rows
+and rows that tie in all but some column are one document's copies.  Null doc_ids come last where one of a group is kept.  An empty table
+has no duplicates.
 """
 
 from __future__ import annotations
@@ -20,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from .common import bounded, durable, fresh, small
+from .common import bounded, content_key, durable, fresh, small
 
-POSITIONS, CHUNKS, THRESHOLD, SHINGLE = 30, 6, 11, 2
+POSITIONS, CHUNKS, THRESHOLD, SHINGLE, TILE = 30, 6, 11, 2, 2048
 _MULT = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 63, 256, dtype=np.uint64)
 
@@ -61,25 +65,28 @@ def chunk_keys(positions: int, chunks: int, threshold: int) -> list[list[int]]:
     return [list(keep) for a, b in zip(edges, edges[1:], strict=False) for keep in combinations(range(a, b), max(0, b - a - errors))]
 
 
-def _forest(nodes: list[int], sigs: list[bytes], threshold: int) -> list[tuple[int, int]]:
-    """Edges that connect what pairs within the threshold connect: a breadth-first search that compares each
-    found node with all that aren't reached yet."""
+def _forest(nodes: list[bytes], sigs: list[bytes], side: np.ndarray, threshold: int) -> list[tuple[bytes, bytes]]:
+    """Edges that connect what pairs within the threshold connect: a breadth-first search that compares each found
+    node with all that aren't reached yet; where there are two sides, with those of the other side."""
     m = np.frombuffer(b"".join(sigs), dtype="<u2").reshape(len(sigs), -1)
-    left, edges = np.arange(len(nodes)), []
-    while len(left) > 1:
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
-            x = queue.pop()
-            near = (m[left] != m[x]).sum(axis=1) <= threshold
+    one, edges = side.max() == side.min(), []
+    left = [np.arange(len(nodes))] if one else [np.flatnonzero(side == 0), np.flatnonzero(side == 1)]
+    while len(left[0]) and (not one or len(left[0]) > 1):
+        queue = [(int(left[0][0]), 0)]
+        left[0] = left[0][1:]
+        while queue:
+            x, s = queue.pop()
+            s = 0 if one else 1 - s
+            near = (m[left[s]] != m[x]).sum(axis=1) <= threshold
             if near.any():
-                edges += [(nodes[x], nodes[y]) for y in left[near]]
-                queue += left[near].tolist()
-                left = left[~near]
+                edges += [(nodes[x], nodes[y]) for y in left[s][near]]
+                queue += [(int(y), s) for y in left[s][near]]
+                left[s] = left[s][~near]
     return edges
 
 
 def _verify(threshold: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -87,14 +94,14 @@ def _verify(threshold: int):
             members = batch.column("members")
             off = members.offsets.to_numpy()
             flat = members.flatten()
-            nodes, sigs = flat.field("node").to_pylist(), flat.field("sig").to_pylist()
+            nodes, sigs, side = flat.field("node").to_pylist(), flat.field("sig").to_pylist(), flat.field("side").to_numpy()
             base = off[0]
             for i in range(len(members)):
                 lo, hi = off[i] - base, off[i + 1] - base
-                for x, y in _forest(nodes[lo:hi], sigs[lo:hi], threshold):
+                for x, y in _forest(nodes[lo:hi], sigs[lo:hi], side[lo:hi], threshold):
                     a.append(x)
                     b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
 
     return run
 
@@ -123,30 +130,43 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
 
 
 def signed(docs: DataFrame, positions: int = POSITIONS, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, sig, copies): one row per different (doc_id, text); node is a 64-bit hash of both."""
+    """(doc_id, node, sig): node is a 128-bit hash of doc_id and text."""
     text = bounded(docs).select("doc_id", "text")
-    rows = text.select("doc_id", F.xxhash64("doc_id", "text").alias("node"), _signature_udf(positions, shingle)("text").alias("sig"))
+    rows = text.select("doc_id", content_key("doc_id", "text").alias("node"), _signature_udf(positions, shingle)("text").alias("sig"))
     return durable(rows.where("sig is not null"))
 
 
-def near_edges(sigs: DataFrame, positions: int, chunks: int, threshold: int) -> DataFrame:
+def _tiled(keyed: DataFrame, tile: int) -> DataFrame:
+    """(key, i, j, side, node): every bucket in parts.  A bucket of at most ``tile`` nodes is one part; a larger one is dealt to tiles by the
+    node's hash, and each pair of tiles is a part, with a side for either, so that parts are of bounded size and all pairs are in one."""
+    large = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select(F.col("key").alias("large"), F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
+    t = keyed.join(small(large), F.col("key") == F.col("large"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    t = t.withColumn("own", F.pmod(F.xxhash64("node", F.lit("tile")), F.col("tiles")).cast("int"))
+    t = t.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return t.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node")
+
+
+def near_edges(sigs: DataFrame, positions: int, chunks: int, threshold: int, tile: int = TILE) -> DataFrame:
     """(a, b) edges between nodes whose components are those of all pairs within the threshold."""
     reps = durable(sigs.groupBy("sig").agg(F.min("node").alias("node")))
     same = sigs.join(reps.withColumnRenamed("node", "rep"), "sig").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.substring("sig", 2 * p + 1, 2) for p in keep]) for i, keep in enumerate(chunk_keys(positions, chunks, threshold))])
-    exploded = reps.select("node", F.explode(keys).alias("key"))
-    bucket = exploded.groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("nodes")).where(F.size("nodes") > 1)
-    bucket = bucket.select("nodes").distinct().select(F.xxhash64("nodes").alias("bucket"), F.explode("nodes").alias("node"))
-    members = bucket.join(reps, "node").groupBy("bucket").agg(F.collect_list(F.struct("node", "sig")).alias("members")).select("members")
-    return same.union(members.mapInArrow(_verify(threshold), "a long, b long"))
+    # nodes are numbered for the shuffles of keys: 8 bytes of the node's hash, by which the node is looked up again
+    parts = _tiled(reps.select(F.xxhash64("node").alias("node"), F.explode(keys).alias("key")), tile)
+    of = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("node")))).alias(f"side{side}")
+    bucket = parts.groupBy("key", "i", "j").agg(of(0), of(1)).where(F.size("side0") + F.size("side1") > 1).select("side0", "side1").distinct()
+    bucket = bucket.select(F.xxhash64("side0", "side1").alias("bucket"), F.size("side0").alias("first"), F.posexplode(F.concat("side0", "side1")).alias("at", "short")).select("bucket", (F.col("at") >= F.col("first")).cast("int").alias("side"), "short")
+    found = bucket.join(reps.withColumn("short", F.xxhash64("node")), "short")
+    members = found.groupBy("bucket").agg(F.collect_list(F.struct("node", "sig", "side")).alias("members")).select("members")
+    return same.union(members.mapInArrow(_verify(threshold), "a binary, b binary"))
 
 
-def groups(docs: DataFrame, positions: int = POSITIONS, chunks: int = CHUNKS, threshold: int = THRESHOLD, shingle: int = SHINGLE) -> DataFrame:
+def groups(docs: DataFrame, positions: int = POSITIONS, chunks: int = CHUNKS, threshold: int = THRESHOLD, shingle: int = SHINGLE, tile: int = TILE) -> DataFrame:
     """(doc_id, node, keep_id, keep_node, copies) for every document of a group of near duplicates and every repeated
     row; the group's least (doc_id, node) stays.  Rows that are equal in doc_id and text share a node."""
     sigs = signed(docs, positions, shingle)
     nodes = sigs.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    roots = components(near_edges(sigs, positions, chunks, threshold))
+    roots = components(near_edges(sigs, positions, chunks, threshold, tile))
     roots = durable(roots.union(roots.select(F.col("root").alias("node"), "root")).distinct())
     member = nodes.join(roots, "node", "left").where("root is not null or copies > 1").withColumn("root", F.coalesce("root", "node"))
     keep = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "node")).alias("k"))
@@ -154,18 +174,21 @@ def groups(docs: DataFrame, positions: int = POSITIONS, chunks: int = CHUNKS, th
 
 
 def near_duplicates(docs: DataFrame, **params) -> DataFrame:
-    """(doc_id, duplicate_of): each document that isn't kept, and the kept document of its group."""
+    """(doc_id, duplicate_of): each different text of a document that isn't kept, and the kept document of its group.  Rows that share the kept
+    row's doc_id aren't listed, as the pair would name one document; ``drop_near_duplicates`` drops them."""
     g = groups(docs, **params)
     return g.where("node <> keep_node or copies > 1").select("doc_id", F.col("keep_id").alias("duplicate_of")).where("not (doc_id <=> duplicate_of)")
 
 
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
-    """All rows of ``docs`` but the near duplicates: one of each group stays, of repeated rows one, all columns as they are.
-    Texts aren't shuffled while the decisions are few enough to broadcast."""
+    """All rows of ``docs`` but the near duplicates: one of each group stays, all columns as they are; of rows that repeat the kept doc_id and
+    text the one whose other columns are first as JSON.  Texts aren't shuffled while the decisions are few enough to broadcast."""
     g = durable(groups(docs, **params))
-    node, act = fresh(docs, "node"), fresh(docs, "act")
-    acts = g.where("node <> keep_node or copies > 1").select(F.col("node").alias(node), F.when(F.col("node") != F.col("keep_node"), "drop").otherwise("once").alias(act))
-    marked = docs.withColumn(node, F.xxhash64("doc_id", "text")).join(small(acts), node, "left")
+    node, act, other = fresh(docs, "node"), fresh(docs, "act"), fresh(docs, "other")
+    acts = durable(g.where("node <> keep_node or copies > 1").select(F.col("node").alias(node), F.when(F.col("node") != F.col("keep_node"), "drop").otherwise("once").alias(act)))
+    marked = docs.withColumn(node, content_key("doc_id", "text")).join(small(acts), node, "left")
     stay = marked.where(F.col(act).isNull()).drop(node, act)
-    once = marked.where(F.col(act) == "once").dropDuplicates([node]).drop(node, act)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    once = marked.where(F.col(act) == "once").withColumn(other, F.to_json(F.struct(*rest)) if rest else F.lit(""))
+    once = once.groupBy(node).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), other).alias(other)).select(f"{other}.*")
     return stay.unionByName(once.select(*docs.columns))
