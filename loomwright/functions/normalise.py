@@ -2,15 +2,77 @@
 
 from __future__ import annotations
 
-import re
+import json
+from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-LEGAL_FORMS = [(r"(?i)gmbh\s*&\s*co\.?\s*kg", "GmbH & Co. KG"), (r"(?i)\bgmbh\b|gesellschaft mit beschränkter haftung", "GmbH"), (r"\bAG\b|(?i)aktiengesellschaft", "AG"), (r"(?i)\be\. ?v\.|eingetragener verein", "e.V."), (r"(?i)\be\. ?k\.|eingetragener kaufmann", "e.K."), (r"(?i)\binc\b\.?", "Inc."), (r"(?i)\bltd\b\.?", "Ltd."), (r"\bKG\b", "KG"), (r"\bSE\b", "SE")]
+#: Forms by their names; names stand for themselves, patterns below come after them.
+FORM_NAMES = {
+    "AG": "Aktiengesellschaft;Gemeinnützige Aktiengesellschaft;Geschlossene Aktiengesellschaft;Kleine Aktiengesellschaft;Offene Aktiengesellschaft",
+    "AdöR": "Anstalt des öffentlichen Rechts",
+    "EG": "Eingetragene Genossenschaft",
+    "GbR": "Gesellschaft bürgerlichen Rechts",
+    "GmbH": "Gesellschaft mit beschränkter Haftung",
+    "KG": "Kommanditgesellschaft",
+    "KGaA": "Kommanditaktiengesellschaft;Kommanditgesellschaft auf Aktien;Kommanditgesellschaft auf Aktien (allgemein)",
+    "SE": "Europäische Gesellschaft",
+    "UG haftungsbeschränkt": "gemeinnützige UG haftungsbeschränkt;gesellschaft UG haftungsbeschränkt",
+    "e.V.": "Verein;eingetragener Verein;gemeinnütziger Verein",
+    "oHG": "OHG;Offene Handelsgesellschaft",
+}
+#: What a name ends with or has as a word, most specific first.
+LEGAL_FORMS = [
+    (r"(?i)gmbh\s*&\s*co\.?\s*kg\s*a\s*a", "GmbH & Co. KGaA"),
+    (r"(?i)gmbh\s*&\s*co\.?\s*kg", "GmbH & Co. KG"),
+    (r"(?i)\bag\s*&\s*co\.?\s*kg", "AG & Co. KG"),
+    (r"(?i)\bggmbh\b", "gGmbH"),
+    (r"(?i)\bgmbh\b|gesellschaft mit beschränkter haftung", "GmbH"),
+    (r"(?i)\bug\b\s*\(?haftungsbeschränkt", "UG haftungsbeschränkt"),
+    (r"\bKGaA\b|(?i)kommanditgesellschaft auf aktien", "KGaA"),
+    (r"\bAG\b|(?i)aktiengesellschaft", "AG"),
+    (r"(?i)\be\. ?v\.|eingetragener verein", "e.V."),
+    (r"(?i)\be\. ?k\.|eingetragene[rn]? kauf(mann|frau)", "e.K."),
+    (r"\be\.? ?G\b\.?|(?i)eingetragene genossenschaft", "EG"),
+    (r"\bGbR\b|(?i)gesellschaft bürgerlichen rechts", "GbR"),
+    (r"\b[oO]HG\b|(?i)offene handelsgesellschaft", "oHG"),
+    (r"\bAdöR\b|(?i)anstalt des öffentlichen rechts", "AdöR"),
+    (r"(?i)\binc\b\.?", "Inc."),
+    (r"(?i)\bltd\b\.?", "Ltd."),
+    (r"(?i)\bllc\b\.?", "LLC"),
+    (r"(?i)\bs\. ?a\.(?! ?r)", "S.A."),
+    (r"\bKG\b|(?i)kommanditgesellschaft", "KG"),
+    (r"\bSE\b", "SE"),
+]
 COUNTRIES = {"Deutschland": "DE", "Germany": "DE", "Österreich": "AT", "Austria": "AT", "Schweiz": "CH", "Switzerland": "CH", "Frankreich": "FR", "France": "FR", "Spanien": "ES", "Spain": "ES", "Italien": "IT", "Italy": "IT", "Vereinigte Staaten": "US", "United States": "US", "Vereinigtes Königreich": "GB", "United Kingdom": "GB", "Japan": "JP", "China": "CN", "Niederlande": "NL", "Polen": "PL", "Belgien": "BE", "Dänemark": "DK", "Schweden": "SE"}
 
 
+def country_names(language: str = "de") -> dict[str, str]:
+    """ISO 3166 codes by the names that the JVM has for them in a language; without a JVM session the short list."""
+    session = SparkSession.getActiveSession()
+    jvm = getattr(session, "_jvm", None) if session else None
+    if jvm is None:
+        return dict(COUNTRIES)
+    locale = jvm.java.util.Locale
+    shown = locale.forLanguageTag(language)
+    return COUNTRIES | {locale.forLanguageTag(f"und-{code}").getDisplayCountry(shown): code for code in locale.getISOCountries()}
+
+
+_names: dict[str, str] = {}
+
+
+def _country_names() -> dict[str, str]:
+    if not _names:
+        _names.update(country_names())
+    return _names
+
+
+def literal_map(table: dict, kind: str = "map<string,string>") -> Column:
+    """A constant map, which costs no generated code however large it is."""
+    return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), kind)
+
+
 def legal_form(name: Column) -> Column:
     """The first form that the name has, else null."""
     out = F.lit(None).cast("string")
@@ -19,9 +81,23 @@ def legal_form(name: Column) -> Column:
     return out
 
 
+def legal_forms(values: Column) -> Column:
+    """Each value by its name in FORM_NAMES, else by what it contains: AG, GmbH (with & Co. KG), e.V., e.K. (the last two anywhere, whatever their
+    case, as callers of old results expect); others stay."""
+    known = literal_map({n: form for form, names in FORM_NAMES.items() for n in names.split(";")})
+
+    def one(v: Column) -> Column:
+        bare = F.lower(F.regexp_replace(v, "[. ]", ""))
+        limited = bare.contains("gmbh") | (bare.contains("mbh") & bare.rlike("gesellschaft|gemeinschaft"))
+        found = F.when(bare.contains("aktiengesellschaft"), "AG").when(limited, F.when(bare.contains("cokg"), "GmbH & Co. KG").otherwise("GmbH")).when(bare.contains("ev"), "e.V.").when(bare.contains("ek"), "e.K.")
+        return F.coalesce(F.try_element_at(known, v), found, v)
+
+    return F.array_distinct(F.transform(F.transform(values, lambda v: F.regexp_replace(v, r" \.", ".")), one))
+
+
 def country_code(name: Column) -> Column:
     """Two letters stay; known names are translated, others null."""
-    known = F.create_map(*[F.lit(x) for pair in COUNTRIES.items() for x in pair])
+    known = literal_map(_country_names())
     return F.when(name.rlike("^[A-Z]{2}$"), name).otherwise(F.try_element_at(known, name))
 
 
@@ -51,10 +127,10 @@ def url_decode(url: Column) -> Column:
     return F.regexp_replace(F.translate(F.try_url_decode(safe), "_", " "), "^/+", "")
 
 
-def claim(json: Column, path: str) -> Column:
+def claim(value: Column, path: str) -> Column:
     """A claim value as a string: text, entity id, time, coordinate "lat;long" or quantity "amount;unit"."""
-    g = lambda p: F.get_json_object(json, f"{path}.{p}")
-    return F.when(g("latitude").isNotNull(), F.concat_ws(";", g("latitude"), g("longitude"))).when(g("amount").isNotNull(), F.concat_ws(";", g("amount"), F.regexp_extract(F.coalesce(g("unit"), F.lit("")), r"([PQ]\d+|\d)$", 1))).otherwise(F.coalesce(g("id"), g("time"), g("text"), F.get_json_object(json, path)))
+    g = lambda p: F.get_json_object(value, f"{path}.{p}")
+    return F.when(g("latitude").isNotNull(), F.concat_ws(";", g("latitude"), g("longitude"))).when(g("amount").isNotNull(), F.concat_ws(";", g("amount"), F.regexp_extract(F.coalesce(g("unit"), F.lit("")), r"([PQ]\d+|\d)$", 1))).otherwise(F.coalesce(g("id"), g("time"), g("text"), F.get_json_object(value, path)))
 
 
 def label_with_fallback(labels: Column, languages: list[str]) -> Column:
@@ -70,6 +146,47 @@ def map_attributes(props: Column, mapping: dict[str, list[str]]) -> Column:
     return F.map_filter(full, lambda _, v: F.size(v) > 0)
 
 
+def overlay(old: Column, new: Column) -> Column:
+    """Of map<string, array<string>>: the new map's non-empty lists go before the old ones."""
+    kept = F.map_filter(new, lambda _, v: F.size(v) > 0)
+    return F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(kept, k)), kept)
+
+
+def json_list(value: Column, path: str) -> Column:
+    """Strings of an array; null if there is none."""
+    return F.from_json(F.get_json_object(value, path), "array<string>")
+
+
+def json_map(value: Column, path: str = "$") -> Column:
+    """Values of an object as text."""
+    return F.from_json(F.get_json_object(value, path), "map<string,string>")
+
+
+def json_double(value: Column, path: str) -> Column:
+    return F.get_json_object(value, path).try_cast("double")
+
+
+def json_boolean(value: Column, path: str) -> Column:
+    return F.get_json_object(value, path).try_cast("boolean")
+
+
+def json_date(value: Column, path: str, pattern: str) -> Column:
+    return F.try_to_timestamp(F.get_json_object(value, path), F.lit(pattern)).cast("date")
+
+
+def flatten_map(value: Column) -> Column:
+    """map<string, array<string>> of an object: nested objects give "key.inner", arrays their values, others one value."""
+    top = F.map_entries(json_map(value))
+
+    def one(e: Column) -> Column:
+        inner = F.map_entries(F.from_json(e["value"], "map<string,string>"))
+        nested = F.transform(inner, lambda x: F.struct(F.concat_ws(".", e["key"], x["key"]).alias("key"), F.array(x["value"]).alias("value")))
+        flat = F.array(F.struct(e["key"].alias("key"), F.when(e["value"].startswith("["), F.from_json(e["value"], "array<string>")).otherwise(F.array(e["value"])).alias("value")))
+        return F.when(e["value"].startswith("{"), nested).otherwise(flat)
+
+    return F.map_from_entries(F.flatten(F.transform(top, one)))
+
+
 def is_number(s: Column) -> Column:
     return s.try_cast("double").isNotNull()
 
@@ -78,13 +195,13 @@ def entity_id(s: Column) -> Column:
     return s.rlike("^[PQ][0-9]+$")
 
 
-def clean_triple(line: Column, prefixes: dict[str, str] | None = None) -> Column:
-    """Three cleaned parts of a triple's line."""
+def clean_triple(line: Column, prefixes: dict[str, str] | None = None, remove: str | None = None) -> Column:
+    """Three cleaned parts of a triple's line, prefixes in place of addresses, in the order given; then what the pattern ``remove`` matches goes."""
     parts = F.filter(F.transform(F.split(line, "> "), lambda x: F.regexp_replace(F.trim(x), "^<|[<>\"]", "")), lambda x: ~x.isin("", "."))
     three = F.slice(F.concat(parts, F.array_repeat(F.lit(""), 3)), 1, 3)
-    for uri, short in (prefixes or {}).items():
-        three = F.transform(three, lambda x, u=uri, s=short: F.regexp_replace(x, re.escape(u), s))
-    return three
+    short = lambda x: reduce(lambda y, p: F.replace(y, F.lit(p[0]), F.lit(p[1])), (prefixes or {}).items(), x)
+    three = F.transform(three, short)
+    return three if remove is None else F.transform(three, lambda x: F.regexp_replace(x, remove, ""))
 
 
 def escape_csv(s: Column) -> Column:

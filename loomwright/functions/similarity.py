@@ -140,6 +140,10 @@ MEASURES = {
 }
 
 
+#: Measures that run in Python, on columns of the plan only, not on elements of lists.
+IN_PYTHON = frozenset(("Jaro", "JaroWinkler", "MongeElkan", "UrlCompare"))
+
+
 def measure(name: str) -> Callable:
     if name not in MEASURES:
         raise ValueError(f"no measure {name!r}; there are {', '.join(MEASURES)}")
@@ -156,6 +160,19 @@ def head_only(xs: Column, ys: Column, compare: Callable[[Column, Column], Column
     return compare(F.try_element_at(xs, F.lit(1)), F.try_element_at(ys, F.lit(1)))
 
 
+def lower_average(xs: Column, ys: Column, compare: Callable[[Column, Column], Column]) -> Column:
+    low = lambda v: F.transform(v, F.lower)
+    return best_match_average(low(xs), low(ys), compare)
+
+
+STRATEGIES = dict.fromkeys(("name", "aliases", "geo_city", "geo_country"), lower_average) | dict.fromkeys(("category", "geo_postal", "gen_employees"), head_only)
+
+
+def strategy(attribute: str) -> Callable:
+    """How two lists of the attribute's values are compared: names and places in lower case, some by their first value, others by the average."""
+    return STRATEGIES.get(attribute, best_match_average)
+
+
 def normalise_weights(weights: dict[str, float]) -> dict[str, float]:
     """Shares, rounded half up to 4 places; non-positive weights go; equal shares if all are zero."""
     total = sum(weights.values())

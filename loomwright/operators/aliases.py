@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..ranges import BROADCAST_BYTES
 from ..session import durable
 
 ANCHOR = r'<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
@@ -72,13 +73,33 @@ def longest_matches(trie: Trie, tokens: list[str]) -> list[tuple[int, int]]:
     return [(i, n) for i, n in longest.items() if i not in covered]
 
 
-def search(docs: DataFrame, aliases: list[str], token_column: str = "tokens", everything: bool = False) -> DataFrame:
-    """(doc_id, alias, pos) of the aliases in the token arrays; ``everything`` keeps nested matches.  The alias list must fit in a task."""
-    lists = [a.split() for a in sorted(set(aliases)) if a.split()]
-    shared = docs.sparkSession.sparkContext.broadcast(lists)
+class _Dictionary:
+    """Aliases as token lists; each worker process builds their trie once."""
+
+    def __init__(self, lists: list[list[str]]):
+        self.lists, self.built = lists, None
+
+    def __getstate__(self):
+        return {"lists": self.lists, "built": None}
+
+    def trie(self) -> Trie:
+        if self.built is None:
+            self.built = Trie(self.lists)
+        return self.built
+
+
+def search(docs: DataFrame, aliases: DataFrame, token_column: str = "tokens", everything: bool = False, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """(doc_id, alias, pos) of the (alias) in the token arrays: the longest from each position, without those that begin inside a longest one;
+    ``everything`` keeps nested matches.  Dictionaries of at most ``limit`` bytes become a trie in each worker, larger ones are joined by
+    their first two tokens and compared."""
+    known = aliases.select(F.trim(F.regexp_replace("alias", r"\s+", " ")).alias("alias")).where("alias <> ''").distinct()
+    size = known.agg(F.sum(F.octet_length("alias") + 64).alias("b")).first()["b"] or 0
+    if size > limit:
+        return _joined(docs, known, token_column, everything)
+    shared = docs.sparkSession.sparkContext.broadcast(_Dictionary([r["alias"].split(" ") for r in known.collect()]))
 
     def run(col: pa.Array) -> pa.Array:
-        trie, out = Trie(shared.value), []
+        trie, out = shared.value.trie(), []
         for tokens in col.to_pylist():
             tokens = tokens or []
             found = [(i, n) for i in range(len(tokens)) for n in trie.matches(tokens, i)] if everything else longest_matches(trie, tokens)
@@ -89,6 +110,23 @@ def search(docs: DataFrame, aliases: list[str], token_column: str = "tokens", ev
     return docs.select("doc_id", F.explode(hits(token_column)).alias("m")).select("doc_id", "m.alias", "m.pos")
 
 
+def _joined(docs: DataFrame, known: DataFrame, token_column: str, everything: bool) -> DataFrame:
+    """The same by a join; rows of one doc_id are one document here."""
+    a = known.withColumn("words", F.split("alias", " ")).withColumn("n", F.size("words"))
+    a = a.withColumn("key", F.xxhash64(F.col("words")[0], F.coalesce(F.try_element_at("words", F.lit(2)), F.lit(""))))
+    t = docs.select("doc_id", F.col(token_column).alias("tokens")).select("doc_id", F.posexplode("tokens").alias("pos", "word"), "tokens")
+    t = t.withColumn("keys", F.array(F.xxhash64("word", F.lit("")), F.xxhash64("word", F.coalesce(F.try_element_at("tokens", F.col("pos") + 2), F.lit("")))))
+    # only windows as long as the longest alias travel
+    longest = known.select(F.size(F.split("alias", " ")).alias("n")).agg(F.max("n")).first()[0] or 0
+    t = t.withColumn("window", F.slice("tokens", F.col("pos") + 1, F.lit(longest))).drop("tokens", "word").withColumn("key", F.explode(F.array_distinct("keys"))).drop("keys")
+    hit = t.join(a, "key").where(F.slice("window", F.lit(1), F.col("n")) == F.col("words")).select("doc_id", "alias", "pos", "n")
+    if everything:
+        return hit.select("doc_id", "alias", "pos")
+    best = hit.groupBy("doc_id", "pos").agg(F.max_by("alias", "n").alias("alias"), F.max("n").alias("n"))
+    reach = F.max(F.col("pos") + F.col("n")).over(Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    return best.withColumn("reach", reach).where("reach is null or pos >= reach").select("doc_id", "alias", "pos")
+
+
 def anchors(pages: DataFrame) -> DataFrame:
     """(page_id, alias, page): the links of every page; empty aliases and links are dropped."""
     links = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("page"), F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("alias"))
@@ -130,15 +168,22 @@ def extended_link(page: Column) -> Column:
     return F.when(F.size(entries) == 1, F.try_element_at(entries, F.lit(1))["key"]).when(F.size(kept) == 1, kept[0]["key"]).when(F.size(kept) == 0, first)
 
 
-def resolve_redirects(edges: DataFrame, max_rounds: int = 32) -> DataFrame:
-    """(src, dst): every redirect to its end by pointer doubling; cycles and self loops are left out.  Each source has one target."""
+def resolve_redirects(edges: DataFrame) -> DataFrame:
+    """(src, dst): every redirect to its end by pointer doubling; what leads into a cycle or to itself is left out.  Each source has one target, the
+    least.  Rounds go on while fewer redirects than before lead to another: what then is left runs in circles."""
     e = durable(edges.where("src <> dst").groupBy("src").agg(F.min("dst").alias("dst")))
-    for _ in range(max_rounds):
-        hop = e.select(F.col("src").alias("dst"), F.col("dst").alias("next"))
-        if e.join(hop, "dst", "left_semi").isEmpty():
-            return e
-        e = durable(e.join(hop, "dst", "left").select("src", F.coalesce("next", "dst").alias("dst")).where("src <> dst"))
-    return e.join(e.select(F.col("src").alias("dst")), "dst", "left_anti").select("src", "dst")
+    ends = e.limit(0)
+    open_, count = e, None
+    while True:
+        sources = e.select(F.col("src").alias("dst"))
+        ends = durable(ends.unionByName(open_.join(sources, "dst", "left_anti").select("src", "dst")))
+        left = durable(open_.join(sources, "dst", "left_semi").select("src", "dst"))
+        n = left.count()
+        if n == 0 or n == count:
+            return ends
+        # a target that has come to its end goes on there, another as far again
+        hop = open_.select(F.col("src").alias("dst"), F.col("dst").alias("next")).unionByName(ends.join(open_, "src", "left_anti").select(F.col("src").alias("dst"), F.col("dst").alias("next")))
+        open_, count = durable(left.join(hop, "dst").select("src", F.col("next").alias("dst"))), n
 
 
 def drop_overlaps(candidates: DataFrame, taken: DataFrame) -> DataFrame:

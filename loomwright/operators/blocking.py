@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..ranges import running
+
 UNDEFINED = "undefined"
 
 
@@ -46,6 +48,19 @@ def assign(df: DataFrame, id_col: str, side: str, schemes: dict[str, Column]) ->
     return rows.select("tag", F.coalesce("key", F.lit(UNDEFINED)).alias("key"), F.lit(side).alias("side"), "id")
 
 
+SCHEMES: dict[str, Callable[..., Column]] = {}
+
+
+def scheme(name: str) -> Callable[..., Column]:
+    """A registered scheme; an unknown one raises."""
+    if name not in SCHEMES:
+        raise ValueError(f"no scheme {name!r}; there are {', '.join(SCHEMES)}")
+    return SCHEMES[name]
+
+
+SCHEMES |= {"simple": simple, "last": last_letters, "list": listed, "mapped": mapped, "geo": geo_grid, "random": hashed}
+
+
 def merge_prefixes(members: DataFrame, n: int = 5) -> DataFrame:
     """Keys of n letters also get the members of shorter keys that are their prefixes; short keys stay, and so does every other
     key."""
@@ -67,14 +82,54 @@ def scheme_totals(block_sizes: DataFrame) -> DataFrame:
     return block_sizes.rollup("tag").agg(F.count(F.lit(1)).alias("blocks"), F.sum("comparisons").alias("comparisons")).withColumn("tag", F.coalesce("tag", F.lit("combined")))
 
 
+def _chunked(members: DataFrame, most: int, drop_undefined: bool = False, least: int = 0) -> DataFrame:
+    """Members of blocks with both sides, with how many subjects (``a``) and staged members (``b``) a part takes: as near to equal as the
+    smaller side allows, with a * b <= most; and into how many ``rows`` and ``cols`` that cuts the block."""
+    by = sizes(members, drop_undefined, least)
+    root = F.greatest(F.lit(1), F.floor(F.sqrt(F.lit(float(most))))).cast("long")
+    fit = lambda mine, other: F.least(F.col(mine), F.greatest(F.floor(F.lit(most) / F.greatest(F.lit(1), F.least(F.col(other), root))).cast("long"), F.lit(1)))
+    by = by.withColumn("a", fit("subjects", "staged")).withColumn("b", F.greatest(F.lit(1), F.least(F.col("staged"), F.floor(F.lit(most) / F.col("a")).cast("long"))))
+    by = by.select("tag", "key", "a", "b", F.ceil(F.col("subjects") / F.col("a")).alias("rows"), F.ceil(F.col("staged") / F.col("b")).alias("cols"))
+    return members.join(by, ["tag", "key"])
+
+
 def split(members: DataFrame, most: int) -> DataFrame:
-    """(tag, key, part, side, id): parts of at most ``most`` comparisons; the subjects of a large block are dealt to chunks
-    and its staged members copied to each chunk."""
-    by = sizes(members, drop_undefined=False).withColumn("per", F.greatest(F.lit(1), F.floor(F.lit(most) / F.col("staged")))).select("tag", "key", F.ceil(F.col("subjects") / F.col("per")).alias("chunks"))
-    m = members.join(by, ["tag", "key"])
-    subjects = m.where("side = 'subject'").withColumn("part", F.pmod(F.xxhash64("id"), F.col("chunks")))
-    staged = m.where("side = 'staging'").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    return subjects.unionByName(staged).select("tag", "key", "part", "side", "id")
+    """(tag, key, part, side, id): parts of at most ``most`` comparisons.  Both sides of a block are dealt to chunks in the order of their ids, and each
+    pair of chunks is a part, so that every comparison is in just one."""
+    m = running(_chunked(members, most), ["tag", "key", "side"], ["id"], F.lit(1), "place")
+    subject = F.col("side") == "subject"
+    mine = F.floor(F.col("place") / F.when(subject, F.col("a")).otherwise(F.col("b"))).cast("long")
+    other = F.sequence(F.lit(0).cast("long"), F.when(subject, F.col("cols")).otherwise(F.col("rows")) - 1)
+    m = m.withColumn("mine", mine).withColumn("other", F.explode(other))
+    part = F.when(subject, F.col("mine") * F.col("cols") + F.col("other")).otherwise(F.col("other") * F.col("cols") + F.col("mine"))
+    return m.select("tag", "key", part.alias("part"), "side", "id")
+
+
+def with_blocks(df: DataFrame, schemes: dict[str, Column]) -> DataFrame:
+    """``df`` with ``blocks``: an array of the (tag, key) of its schemes in their order, defined ones only."""
+    def tagged(tag: str, keys: Column) -> Column:
+        return F.transform(F.array_distinct(keys), lambda k: F.struct(F.lit(tag).alias("tag"), k.alias("key")))
+
+    lists = [tagged(tag, keys) for tag, keys in schemes.items()]
+    return df.withColumn("blocks", F.filter(F.concat(*lists), lambda b: b["key"].isNotNull() & (b["key"] != UNDEFINED)))
+
+
+def block_pairs(subjects: DataFrame, staging: DataFrame, schemes: tuple[dict[str, Column], dict[str, Column]], most: int = 1 << 20) -> DataFrame:
+    """Pairs that share a block, each once, in the first block that both have: the columns of both sides as s_* and t_*, with ``blocks`` in
+    s_blocks and t_blocks.  Attributes travel with the block key, so that pairs needn't be looked up, and no pair is shuffled.  Blocks of more than
+    ``most`` comparisons are dealt by a hash to parts of about that many: subjects to rows and staged members to columns of parts."""
+    s = with_blocks(subjects, schemes[0]).withColumn("b", F.explode("blocks"))
+    t = with_blocks(staging, schemes[1]).withColumn("b", F.explode("blocks"))
+    count = lambda df, name: df.groupBy("b").agg(F.count(F.lit(1)).alias(name))
+    large = count(s, "x").join(count(t, "y"), "b").where(F.col("x") * F.col("y") > most)
+    root = max(1, int(most**0.5))
+    large = large.select("b", F.ceil(F.col("x") / root).cast("int").alias("rows"), F.ceil(F.col("y") / root).cast("int").alias("cols"))
+    dealt = lambda df, mine, other: df.join(large, "b", "left").withColumn(mine, F.pmod(F.xxhash64("id"), F.coalesce(mine + "s", F.lit(1))).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(other + "s", F.lit(1)) - 1))).drop("rows", "cols")
+    s, t = dealt(s, "row", "col"), dealt(t, "col", "row")
+    left = s.select("b", "row", "col", *[F.col(c).alias(f"s_{c}") for c in [*subjects.columns, "blocks"]])
+    right = t.select("b", "row", "col", *[F.col(c).alias(f"t_{c}") for c in [*staging.columns, "blocks"]])
+    first = F.try_element_at(F.filter("s_blocks", lambda b: F.array_contains("t_blocks", b)), F.lit(1))
+    return left.join(right, ["b", "row", "col"]).where(F.col("b") == first).drop("b", "row", "col")
 
 
 def pairs(members: DataFrame, kept: DataFrame) -> DataFrame:
@@ -85,6 +140,23 @@ def pairs(members: DataFrame, kept: DataFrame) -> DataFrame:
     return s.join(t, ["tag", "key"]).select("subject", "staging").distinct()
 
 
+def statistics(block_sizes: DataFrame, found: DataFrame, gold: DataFrame) -> DataFrame:
+    """(tag, blocks, comparisons, found, gold, completeness, precision) of each scheme and of all; ``found`` has (tag, subject, staging), the pairs
+    that each scheme puts in one block, ``gold`` (subject, staging).  Precision is found gold pairs over comparisons, 0 without any."""
+    g = gold.select("subject", "staging").distinct()
+    hits = found.join(g, ["subject", "staging"], "left_semi").select("tag", "subject", "staging").distinct()
+    both = hits.groupBy("tag").agg(F.count(F.lit(1)).alias("found")).unionByName(hits.select("subject", "staging").distinct().agg(F.count(F.lit(1)).alias("found")).withColumn("tag", F.lit("combined")))
+    out = scheme_totals(block_sizes).join(both, "tag", "left").crossJoin(F.broadcast(g.agg(F.count(F.lit(1)).alias("gold"))))  # one row
+    n = F.coalesce("found", F.lit(0))
+    return out.select("tag", "blocks", "comparisons", n.alias("found"), "gold", F.when(F.col("gold") > 0, F.round(n / F.col("gold"), 6)).otherwise(0.0).alias("completeness"), F.when(F.col("comparisons") > 0, F.round(n / F.col("comparisons"), 6)).otherwise(0.0).alias("precision"))
+
+
+def evaluation_record(stats: DataFrame, job: str, comment: str) -> DataFrame:
+    """One row (job, comment, blocks): the different statistics of the schemes, sorted."""
+    cols = [c for c in stats.columns if c != "tag"]
+    return stats.agg(F.array_sort(F.collect_set(F.struct("tag", *cols))).alias("blocks")).select(F.lit(job).alias("job"), F.lit(comment).alias("comment"), "blocks")
+
+
 def pairs_completeness(found: DataFrame, gold: DataFrame) -> DataFrame:
     """One row (found, gold, completeness)."""
     n = gold.join(found.withColumn("hit", F.lit(1)), ["subject", "staging"], "left").agg(F.count("hit").alias("found"), F.count(F.lit(1)).alias("gold"))

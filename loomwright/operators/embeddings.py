@@ -9,6 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def clean_tokens(tokens: Column, digits: bool = True, stop: tuple[str, ...] = ()) -> Column:
+    """Lower case without number signs; ``digits`` keeps tokens that have some, ``stop`` words go; so do tokens that then are empty."""
+    low = F.transform(tokens, lambda t: F.replace(F.lower(t), F.lit("#"), F.lit("")))
+    kept = F.filter(low, lambda t: (t != "") if digits else (t != "") & ~t.rlike("[0-9]"))
+    return F.filter(kept, lambda t: ~t.isin(*stop)) if stop else kept
+
+
 def word_weights(frequencies: DataFrame, a: float = 1e-7) -> DataFrame:
     """(word, weight): a / (a + share)."""
     total = frequencies.agg(F.sum("n").alias("total"))

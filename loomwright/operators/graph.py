@@ -30,10 +30,22 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 
 def component_groups(edges: DataFrame, least: int = 3) -> DataFrame:
-    """(component, nodes, size): members by descending degree, then id."""
-    m = components(edges).join(degrees(edges), "id")
+    """(component, size, id, degree): the members of components of at least ``least``, one row each, as a component may hold most of the graph.
+    Nodes without edges are in none."""
+    c = durable(components(edges))
+    sizes = c.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= least)
+    return c.join(sizes, "component").join(degrees(edges), "id").select("component", "size", "id", "degree")
+
+
+def ownership_groups(relations: DataFrame, names: tuple[str, ...], least: int = 3) -> DataFrame:
+    """``component_groups`` of the edges (src, dst, relation) with one of the relations."""
+    return component_groups(durable(relations.where(F.col("relation").isin(*names)).select("src", "dst").distinct()), least)
+
+
+def result_graphs(groups: DataFrame, kind: str) -> DataFrame:
+    """(component, type, nodes, size), members by descending degree, then id: for exports of groups that are known to be small."""
     members = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("degree")).alias("d"), "id"))), lambda x: x["id"])
-    return m.groupBy("component").agg(members.alias("nodes"), F.count(F.lit(1)).alias("size")).where(F.col("size") >= least)
+    return groups.groupBy("component").agg(members.alias("nodes"), F.count(F.lit(1)).alias("size")).withColumn("type", F.lit(kind))
 
 
 def chains(edges: DataFrame) -> DataFrame:
@@ -50,8 +62,3 @@ def stars(edges: DataFrame, spokes: int = 3) -> DataFrame:
     for i in range(2, spokes + 1):
         out = out.join(edges.select(F.col("src").alias("hub"), F.col("dst").alias(f"s{i}")), "hub")
     return out
-
-
-def star_counts(edges: DataFrame, spokes: int = 3) -> DataFrame:
-    """(hub, stars): how many stars there are, without listing them."""
-    return edges.groupBy(F.col("src").alias("hub")).agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(spokes)).cast("long").alias("stars"))

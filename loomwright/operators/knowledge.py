@@ -30,6 +30,16 @@ def tag_entities(entities: DataFrame, paths: DataFrame) -> DataFrame:
     return c.groupBy("id").agg(F.min_by(F.struct("node", "path"), "i").alias("t")).select("id", F.element_at("t.path", 1).alias("tag"), F.col("t.path").alias("path"))
 
 
+def german_relations(triples: DataFrame, labels: DataFrame) -> DataFrame:
+    """(subject, relation, object) of (subject, property, object): ends by their German name in (id, label), else as they are; without the prefixes
+    of resources and ontology, underscores as blanks."""
+    name = lambda c: F.replace(F.regexp_replace(c, r"^(dbpedia-de|dbr|dbo):", ""), F.lit("_"), F.lit(" "))
+    out = triples
+    for end in ("subject", "object"):
+        out = out.join(labels.select(F.col("id").alias(end), F.col("label").alias(f"{end}_label")), end, "left").withColumn(f"{end}_name", name(F.coalesce(f"{end}_label", end)))
+    return out.select(F.col("subject_name").alias("subject"), name(F.col("property")).alias("relation"), F.col("object_name").alias("object")).distinct()
+
+
 def group_triples(triples: DataFrame) -> DataFrame:
     """(id, properties) of (subject, property, object)."""
     lists = triples.groupBy("subject", "property").agg(F.array_sort(F.collect_set("object")).alias("values"))

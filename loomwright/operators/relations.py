@@ -11,6 +11,18 @@ def entity_lists(rows: DataFrame, sentence: str, entity: str) -> DataFrame:
     return rows.groupBy(sentence).agg(F.array_sort(F.collect_set(entity)).alias("entities")).where(F.size("entities") > 1)
 
 
+def ordered_lists(rows: DataFrame, sentence: str, entity: str, at: str) -> DataFrame:
+    """As ``entity_lists``, in the order of first occurrence, so that the same entities in another order are another list."""
+    first = rows.groupBy(sentence, entity).agg(F.min(at).alias("at_"))
+    lists = first.groupBy(sentence).agg(F.transform(F.array_sort(F.collect_list(F.struct("at_", entity))), lambda x: x[entity]).alias("entities"))
+    return lists.where(F.size("entities") > 1)
+
+
+def pair_bags(sentences: DataFrame) -> DataFrame:
+    """(pair, term, n): the bags of the sentences (pair, bag as array) of each pair as one."""
+    return sentences.select("pair", F.explode("bag").alias("term")).groupBy("pair", "term").agg(F.count(F.lit(1)).alias("n"))
+
+
 def cooccurrences(lists: DataFrame) -> DataFrame:
     return lists.groupBy("entities").agg(F.count(F.lit(1)).alias("n"))
 

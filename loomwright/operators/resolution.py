@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PRIORITY = tuple("human implisense kompass dbpedia wikidata".split())
-
 
 def score_pairs(pairs: DataFrame, subjects: DataFrame, staging: DataFrame, score: Column, confidence: float) -> DataFrame:
     """Joins both sides (columns s_* and t_*) and scores once; (subject, staging, score) at or over the confidence."""
@@ -45,12 +43,13 @@ def threshold_sweep(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     return precision_recall(by)
 
 
-def precision_recall(counts: DataFrame, beta: float = 1.0) -> DataFrame:
-    p = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(0.0)
-    r = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(0.0)
+def precision_recall(counts: DataFrame, beta: float = 1.0, undefined: float = 0.0) -> DataFrame:
+    """(tp, fp, fn) with precision, recall and F; ``undefined`` stands where there is nothing to divide by."""
+    p = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(undefined)
+    r = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(undefined)
     out = counts.withColumn("precision", F.round(p, 6)).withColumn("recall", F.round(r, 6))
     b = beta * beta
-    return out.withColumn("f1", F.round(F.when(p + r > 0, (1 + b) * p * r / (b * p + r)).otherwise(0.0), 6))
+    return out.withColumn("f1", F.round(F.when(F.isnan(p) | F.isnan(r), undefined).when(p + r > 0, (1 + b) * p * r / (b * p + r)).otherwise(undefined), 6))
 
 
 def adjusted_counts(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -61,7 +60,8 @@ def adjusted_counts(rows: DataFrame, group: list[str]) -> DataFrame:
     return r.agg(F.count_if(p & t & ~F.col("many")).alias("tp"), F.count_if(p & ~t).alias("fp"), F.count_if((~p & t) | (p & t & F.col("many"))).alias("fn"), F.count_if(~p & ~t).alias("tn"))
 
 
-def priority(source: Column, order: tuple[str, ...] = PRIORITY) -> Column:
+def priority(source: Column, order: tuple[str, ...]) -> Column:
+    """The source's place in the order; after all of it for others."""
     return F.coalesce(F.try_element_at(F.create_map(*[x for i, s in enumerate(order) for x in (F.lit(s), F.lit(i))]), source), F.lit(len(order)))
 
 
@@ -124,3 +124,27 @@ def append_maps(base: DataFrame, delta: DataFrame, key: str, column: str) -> Dat
     out = base.join(d, key, "left")
     merged = F.when(F.col("new_entries").isNull(), F.col(column)).otherwise(F.map_concat(F.map_filter(F.coalesce(column, F.create_map().cast(dict(base.dtypes)[column])), lambda k, _: ~F.map_contains_key("new_entries", k)), F.col("new_entries")))
     return out.withColumn(column, merged).drop("new_entries")
+
+
+def full_outcomes(predicted: DataFrame, gold: DataFrame) -> DataFrame:
+    """(subject, staging, score, truth): predictions and gold pairs together; a pair that is only gold has score 0."""
+    g = gold.select("subject", "staging").distinct().withColumn("truth", F.lit(True))
+    j = predicted.select("subject", "staging", "score").join(g, ["subject", "staging"], "full")
+    return j.select("subject", "staging", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("truth", F.lit(False)).alias("truth"))
+
+
+def feature_table(pairs: DataFrame, features: dict[str, list[Column]]) -> DataFrame:
+    """``pairs`` with ``scores``: map<attribute, array<double>>, for each attribute its measures; 0 where one cannot be taken."""
+    one = F.create_map(*[x for a, cols in features.items() for x in (F.lit(a), F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in cols]))])
+    return pairs.withColumn("scores", one if features else F.create_map().cast("map<string,array<double>>"))
+
+
+def label_features(features: DataFrame, gold: DataFrame) -> DataFrame:
+    """``correct``: whether the pair is in the gold standard."""
+    g = gold.select("subject", "staging").distinct().withColumn("correct", F.lit(True))
+    return features.join(g, ["subject", "staging"], "left").withColumn("correct", F.coalesce("correct", F.lit(False)))
+
+
+def average_scores(stats: DataFrame) -> DataFrame:
+    """Mean precision, recall and F of several runs."""
+    return stats.agg(*[F.round(F.avg(c), 6).alias(c) for c in ("precision", "recall", "f1")])

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stem import stems
+
 WORD = r"[A-Za-zÀ-ÖØ-öø-ÿ0-9]+"
 
 
@@ -24,19 +26,34 @@ def clean_tokens(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|\n+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|\n+"), lambda x: F.trim(x)), lambda s: s != "")
 
 
-def stem_german(word: Column) -> Column:
-    """A light suffix stripper: umlauts folded, one inflection ending removed from words of more than five letters."""
-    folded = F.translate(F.lower(word), "äöüß", "aous")
-    return F.when(F.length(folded) > 5, F.regexp_replace(folded, "(ern|em|er|en|es|e|s|n)$", "")).otherwise(folded)
+def without_symbols(tokens: Column, stop: Sequence[str] = ()) -> Column:
+    """Tokens with a letter or digit that aren't stop words."""
+    kept = F.filter(tokens, lambda t: t.rlike(r"[\p{L}\p{N}]"))
+    return F.filter(kept, lambda t: ~F.lower(t).isin(*stop)) if stop else kept
 
 
 def process(tokens: Column, stop: Sequence[str] = (), stem: bool = False) -> Column:
     """Stop words go (case matters) before stemming."""
     kept = F.filter(tokens, lambda t: ~t.isin(*stop)) if stop else tokens
-    return F.transform(kept, stem_german) if stem else kept
+    return stems(kept) if stem else kept
+
+
+TOKENIZERS = {"whitespace": whitespace_tokens, "clean": clean_tokens, "words": words, "clean_words": lambda text: F.filter(words(text), lambda t: ~t.isin(*".!?,;:")), "sentences": sentences}
+
+
+def tokenizer(args: Sequence[str] = ()) -> Callable[[Column], Column]:
+    """By up to three arguments: a name, whether stop words go, whether words are stemmed; missing ones mean words, yes and yes.  The function takes the
+    text and, where they are to go, the stop words."""
+    if len(args) > 3:
+        raise ValueError("a tokenizer takes at most three arguments")
+    name, *flags = [*args, *("words", "true", "true")[len(args) :]]
+    if name not in TOKENIZERS:
+        raise ValueError(f"no tokenizer {name!r}; there are {', '.join(TOKENIZERS)}")
+    stop_too, stem = (f.lower() == "true" for f in flags)
+    return lambda text, stop=(): process(TOKENIZERS[name](text), stop if stop_too else (), stem)
 
 
 def term_frequency(docs: DataFrame) -> DataFrame:
@@ -45,6 +62,11 @@ def term_frequency(docs: DataFrame) -> DataFrame:
     return t.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def distinct_terms(docs: DataFrame) -> DataFrame:
+    """(term), lower case, once for each document that has it: what document frequencies count, without a shuffle by document."""
+    return docs.select(F.explode(F.array_distinct(F.transform(words(F.col("text")), F.lower))).alias("term"))
+
+
 def document_frequency(tf: DataFrame, least: int = 5) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= least)
 

@@ -12,6 +12,12 @@ def history(log: DataFrame, key: str, order: list[str], value: str) -> DataFrame
     return log.withColumn("before", before).where(~F.col(value).eqNullSafe(F.col("before")))
 
 
+def nth_version(changes: DataFrame, key: str, order: list[str], value: str, n: int) -> DataFrame:
+    """(key, value): the n-th of each key's changes, the last if there are fewer."""
+    i = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return changes.withColumn("i_", i).where(F.col("i_") <= n).groupBy(key).agg(F.max_by(value, "i_").alias(value))
+
+
 def as_of(log: DataFrame, key: str, order: str, value: str, when: Column) -> DataFrame:
     """(key, value): the last at or before ``when``."""
     return log.where(F.col(order) <= when).groupBy(key).agg(F.max_by(value, order).alias(value))
@@ -33,6 +39,14 @@ def diff(old: Column, new: Column) -> Column:
     return F.when((F.size(plus) > 0) | (F.size(minus) > 0), F.to_json(F.struct(plus.alias("+"), minus.alias("-"))))
 
 
+def diff_rows(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, change, n): values that only the new rows have as +, that only the old ones have as -, with how often they do.  No list of a key's
+    values is built."""
+    both = old.select(key, value, F.lit(0).alias("side")).unionByName(new.select(key, value, F.lit(1).alias("side")))
+    by = both.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"), F.sum("side").alias("late"))
+    return by.where("late = 0 or late = n").select(key, value, F.when(F.col("late") > 0, "+").otherwise("-").alias("change"), "n")
+
+
 def restore(subjects: DataFrame, histories: dict[str, str], wanted: Column) -> DataFrame:
     """Every column of ``histories`` {column: history column} as of the wanted version."""
     return subjects.withColumns({c: version_in(F.col(h), wanted)["value"] for c, h in histories.items()})

@@ -61,30 +61,36 @@ def block_totals(s, d):
     return blocking.scheme_totals(blocking.sizes(_members(s, d)))
 
 
+#: Names cut after 2 to 8 letters, so that short keys are beginnings of full ones.
+_SHORT = "substr(p_name, 1, cast(2 + p_partkey % 7 as int))"
+
+
 @query(
     "block_prefix_merge",
-    """with m as (select 'simple' as tag, lower(substr(split_part(p_name, ' ', 1), 1, 5)) as key, p_partkey as id from part)
+    f"""with m as (select 'simple' as tag, lower(substr({_SHORT}, 1, 5)) as key, p_partkey as id from part)
 select distinct tag, key, side, id from (select tag, key, case when id % 2 = 0 then 'subject' else 'staging' end as side, id from m
 union all select f.tag, f.key, case when s.id % 2 = 0 then 'subject' else 'staging' end, s.id from (select distinct tag, key from m where length(key) = 5) f join m s on length(s.key) < 5 and starts_with(f.key, s.key))""",
 )
 def block_prefix_merge(s, d):
-    a, b = _sides(s, d)
-    key = {"simple": blocking.simple(F.split("name", " ")[0])}
-    return blocking.merge_prefixes(blocking.assign(a, "id", "subject", key).unionByName(blocking.assign(b, "id", "staging", key)))
+    p = table(s, d, "part").select(F.col("p_partkey").alias("id"), F.expr(_SHORT).alias("name"))
+    key = {"simple": blocking.simple(F.col("name"))}
+    return blocking.merge_prefixes(blocking.assign(p.where("id % 2 = 0"), "id", "subject", key).unionByName(blocking.assign(p.where("id % 2 = 1"), "id", "staging", key)))
 
 
 @query(
     "block_split",
     """with b as (select c_nationkey as k, count(*) as n from customer group by 1), t as (select s_nationkey as k, count(*) as n from supplier group by 1)
-select k::varchar as key, sum(b.n * t.n)::bigint as comparisons, true as fits from b join t using (k) group by 1""",
+select k::varchar as key, sum(b.n * t.n)::bigint as comparisons, true as fits, true as whole from b join t using (k) group by 1""",
 )
 def block_split(s, d):
     c = table(s, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("string").alias("n"))
     t = table(s, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("string").alias("n"))
     m = blocking.assign(c, "id", "subject", {"nation": F.array("n")}).unionByName(blocking.assign(t, "id", "staging", {"nation": F.array("n")}))
-    most = 400
-    parts = blocking.split(m, most).groupBy("key", "part").agg((F.count_if(F.col("side") == "subject") * F.count_if(F.col("side") == "staging")).alias("c"))
-    return parts.groupBy("key").agg(F.sum("c").alias("comparisons"), F.lit(True).alias("fits"))
+    most = 40
+    parts = blocking.split(m, most).groupBy("key", "part").agg(*[F.count_if(F.col("side") == x).alias(x) for x in ("subject", "staging")])
+    # all parts are under the bound, and no smaller number of parts would do than twice the least
+    c = F.col("subject") * F.col("staging")
+    return parts.groupBy("key").agg(F.sum(c).alias("comparisons"), (F.max(c) <= most).alias("fits"), (F.count(F.lit(1)) <= 4 * F.ceil(F.sum(c) / most)).alias("whole"))
 
 
 _SCORE = "round(0.6 * (0.7 * (case when a.p_name = b.p_name then 1.0 else 0.0 end) + 0.3 * (case when a.p_brand = b.p_brand then 1.0 else 0.0 end)) + 0.4 * least(a.p_size, b.p_size)::double / greatest(a.p_size, b.p_size), 6)"
@@ -96,16 +102,15 @@ y as (select * from x where score >= 0.7)"""
 def _scored(s: SparkSession, d: str) -> DataFrame:
     a, b = _sides(s, d)
     key = {"simple": blocking.simple(F.col("name"))}
-    m = blocking.assign(a, "id", "subject", key).unionByName(blocking.assign(b, "id", "staging", key))
-    pairs = blocking.pairs(m, blocking.sizes(m))
     c = F.col
     score = sim.weighted_score([(c("s_name"), c("t_name"), 0.6, [("ExactMatchString", 0.7, 1)]), (c("s_brand"), c("t_brand"), 0.6, [("ExactMatchString", 0.3, 1)]), (c("s_size"), c("t_size"), 0.4, [("RelativeNumbersSimilarity", 1.0, 1)])])
-    return resolution.score_pairs(pairs, a, b, score, 0.7)
+    p = blocking.block_pairs(a.drop("kind"), b.drop("kind"), (key, key))
+    return p.select(c("s_id").alias("subject"), c("t_id").alias("staging"), F.round(score, 6).alias("score")).where("score >= 0.7")
 
 
-@query("dedup_candidates", _SCORED + " select subject, count(*) as n, max(score) as best from y group by 1")
+@query("dedup_candidates", _SCORED + " select subject, count(*) as n, max(score) as best, string_agg(staging::varchar || ':' || round(score * 1000000)::bigint::varchar, ';' order by staging) as candidates from y group by 1")
 def dedup_candidates(s, d):
-    return resolution.candidates(_scored(s, d)).select("subject", F.size("candidates").cast("long").alias("n"), F.array_max(F.transform("candidates", lambda x: x["score"])).alias("best"))
+    return resolution.candidates(_scored(s, d)).select("subject", F.size("candidates").cast("long").alias("n"), F.array_max(F.transform("candidates", lambda x: x["score"])).alias("best"), F.concat_ws(";", F.transform("candidates", lambda x: F.concat_ws(":", x["staging"].cast("string"), F.round(x["score"] * 1000000).cast("long").cast("string")))).alias("candidates"))
 
 
 @query("entity_resolution", _SCORED + " select subject, staging, score from (select *, row_number() over (partition by staging order by score desc, subject) as r from y) where r = 1")
@@ -150,27 +155,37 @@ def adjusted_counts(s, d):
 
 
 def _names(s: SparkSession, d: str) -> DataFrame:
-    n = table(s, d, "part").select(F.col("p_name")).distinct()
-    return n.select(F.col("p_name").alias("a")).crossJoin(F.broadcast(n.select(F.col("p_name").alias("b")))).where("a < b")
+    """Pairs of different names that share a word."""
+    n = table(s, d, "part").select("p_name").distinct().select("p_name", F.explode(F.array_distinct(F.split("p_name", " "))).alias("w"))
+    return n.select(F.col("p_name").alias("a"), "w").join(n.select(F.col("p_name").alias("b"), "w"), "w").where("a < b").select("a", "b").distinct()
 
 
-_PAIRS = "with n as (select distinct p_name as x from part), p as (select a.x as a, b.x as b from n a, n b where a.x < b.x)"
-_BAG = ", ca as (select a, b, unnest(string_split(a, '')) as c from p), cb as (select a, b, unnest(string_split(b, '')) as c from p), na as (select a, b, c, count(*) as n from ca group by 1, 2, 3), nb as (select a, b, c, count(*) as n from cb group by 1, 2, 3), i as (select na.a, na.b, sum(least(na.n, nb.n)) as i from na join nb on na.a = nb.a and na.b = nb.b and na.c = nb.c group by 1, 2)"
-_BAGGED = f"{_PAIRS}{_BAG} select p.a, p.b, round({{}}, 6) as sim from p left join i on p.a = i.a and p.b = i.b"
+_PAIRS = "with n as (select x, unnest(string_split(x, ' ')) as w from (select distinct p_name as x from part)), p as (select distinct a.x as a, b.x as b from n a join n b on a.w = b.w and a.x < b.x)"
+def _gram_sql(n: int, ratio: str) -> str:
+    grams = f"list_transform(range(1, length({{0}}) - {n - 2}), lambda i: substr({{0}}, i, {n}))"
+    bags = "".join(f", c{x} as (select a, b, unnest({grams.format(x)}) as c from p), n{x} as (select a, b, c, count(*) as n from c{x} group by 1, 2, 3)" for x in "ab")
+    join = "j as (select na.a, na.b, sum(least(na.n, nb.n)) as i from na join nb on na.a = nb.a and na.b = nb.b and na.c = nb.c group by 1, 2)"
+    k = f"k as (select p.a, p.b, coalesce(j.i, 0)::double as i, (length(p.a) - {n - 1})::double as la, (length(p.b) - {n - 1})::double as lb from p left join j on p.a = j.a and p.b = j.b)"
+    return f"{_PAIRS}{bags}, {join}, {k} select a, b, round({ratio}, 6) as sim from k"
 
 
-def _similarity(name: str, measure: str, sql: str) -> None:
+def _similarity(name: str, measure: str, sql: str, n: int = 1) -> None:
     @query(name, sql)
     def run(s, d):
-        return _names(s, d).select("a", "b", F.round(sim.measure(measure)(F.col("a"), F.col("b")), 6).alias("sim"))
-
-
-_I, _A, _B = "coalesce(i, 0)", "length(p.a)", "length(p.b)"
-_similarity("sim_exact", "ExactMatchString", f"{_PAIRS} select a, b, case when a = b then 1.0 else 0.0 end as sim from p")
-_similarity("sim_jaccard", "Jaccard", _BAGGED.format(f"{_I} / ({_A} + {_B} - {_I})::double"))
-_similarity("sim_dice", "DiceSorensen", _BAGGED.format(f"2 * {_I} / ({_A} + {_B})::double"))
-_similarity("sim_overlap", "Overlap", _BAGGED.format(f"{_I} / least({_A}, {_B})::double"))
-_similarity("sim_ngram", "NGram", _BAGGED.format(f"{_I} / greatest({_A}, {_B})::double"))
+        return _names(s, d).select("a", "b", F.round(sim.measure(measure)(F.col("a"), F.col("b"), n), 6).alias("sim"))
+
+
+for _name, _measure, _n, _ratio in (
+    ("sim_jaccard", "Jaccard", 1, "i / (la + lb - i)"),
+    ("sim_dice", "DiceSorensen", 1, "2 * i / (la + lb)"),
+    ("sim_overlap", "Overlap", 1, "i / least(la, lb)"),
+    ("sim_ngram", "NGram", 1, "i / greatest(la, lb)"),
+    ("sim_jaccard_2", "Jaccard", 2, "i / (la + lb - i)"),
+    ("sim_dice_3", "DiceSorensen", 3, "2 * i / (la + lb)"),
+    ("sim_overlap_2", "Overlap", 2, "i / least(la, lb)"),
+    ("sim_ngram_3", "NGram", 3, "i / greatest(la, lb)"),
+):
+    _similarity(_name, _measure, _gram_sql(_n, _ratio), _n)
 _similarity("sim_jaro", "Jaro", f"{_PAIRS} select a, b, round(jaro_similarity(a, b), 6) as sim from p")
 _JW = "(jaro_similarity({0}, {1}) + 0.1 * (case when {0}[1] <> {1}[1] then 0 when {0}[1:2] <> {1}[1:2] then 1 when {0}[1:3] <> {1}[1:3] then 2 when {0}[1:4] <> {1}[1:4] then 3 else 4 end) * (1 - jaro_similarity({0}, {1})))"
 _similarity("sim_jaro_winkler", "JaroWinkler", f"{_PAIRS} select a, b, round({_JW.format('a', 'b')}, 6) as sim from p")
@@ -178,6 +193,13 @@ _ME = "list_avg(list_transform(string_split({0}, ' '), lambda x: list_max(list_t
 _similarity("sim_monge_elkan", "MongeElkan", f"{_PAIRS} select a, b, round(greatest({_ME.format('a', 'b')}, {_ME.format('b', 'a')}), 6) as sim from p")
 
 
+@query("sim_exact", "select a.p_partkey as a, b.p_partkey as b, case when a.p_name = b.p_name then 1.0 else 0.0 end as sim from part a join part b on a.p_size = b.p_size and a.p_brand = b.p_brand and a.p_partkey < b.p_partkey")
+def sim_exact(s, d):
+    x = table(s, d, "part")
+    a, b = (x.select(F.col("p_partkey").alias(n), F.col("p_name").alias(n + "n"), "p_size", "p_brand") for n in "ab")
+    return a.join(b, ["p_size", "p_brand"]).where("a < b").select("a", "b", sim.exact(F.col("an"), F.col("bn")).alias("sim"))
+
+
 @query("sim_relnum", "select a.s_suppkey as a, b.s_suppkey as b, round(least(a.s_acctbal, b.s_acctbal) / greatest(a.s_acctbal, b.s_acctbal), 6) as sim from supplier a join supplier b on a.s_nationkey = b.s_nationkey and a.s_suppkey < b.s_suppkey")
 def sim_relnum(s, d):
     x = table(s, d, "supplier")
@@ -211,13 +233,8 @@ def relation_fusion(s, d):
     return resolution.fuse_relations(li, F.when(F.col("l_linestatus") == "O", 0).otherwise(2))
 
 
-@query("datasource_update", "select distinct o_custkey as c_custkey, case when c.c_custkey is null then 'create' else 'overwrite' end as action from orders left join (select c_custkey from customer where c_custkey % 2 = 0) c on o_custkey = c.c_custkey")
+@query("datasource_update", "select distinct o_custkey as c_custkey, case when c.c_custkey is null then 'create' else 'overwrite' end as action from orders left join customer c on o_custkey = c.c_custkey")
 def datasource_update(s, d):
-    return resolution.update_from_source(table(s, d, "customer").where("c_custkey % 2 = 0"), table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey")
-
-
-@query("datasource_update_all", "select distinct o_custkey as c_custkey, case when c.c_custkey is null then 'create' else 'overwrite' end as action from orders left join customer c on o_custkey = c.c_custkey")
-def datasource_update_all(s, d):
     return resolution.update_from_source(table(s, d, "customer"), table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey")
 
 
@@ -234,14 +251,8 @@ def connect_masters(s, d):
     return resolution.connect_masters(rel, mem)
 
 
-@query("name_relation_matching", "select p_name as name, min(p_partkey) as id from part where p_partkey % 97 < 3 group by 1 having count(distinct p_partkey) = 1 or count(distinct p_brand) = 1")
+@query("name_relation_matching", "select p_name as name, min(p_partkey) as id from part group by 1 having count(distinct p_partkey) = 1 or count(distinct p_brand) = 1")
 def name_relation_matching(s, d):
-    p = table(s, d, "part")
-    return resolution.match_names(p.select(F.col("p_name").alias("name")), p.where("p_partkey % 97 < 3").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("master")))
-
-
-@query("name_relation_matching_all", "select p_name as name, min(p_partkey) as id from part group by 1 having count(distinct p_partkey) = 1 or count(distinct p_brand) = 1")
-def name_relation_matching_all(s, d):
     p = table(s, d, "part")
     return resolution.match_names(p.select(F.col("p_name").alias("name")), p.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("master")))
 
@@ -268,16 +279,20 @@ def version_as_of(s, d):
     return versions.as_of(table(s, d, "events"), "user_id", "ts", "event_type", F.lit("2024-01-15").cast("timestamp"))
 
 
+#: Two versions of each user's log: what there was before the middle of all times, and what came after it.
+_HALF = "(select min(ts) + (max(ts) - min(ts)) / 2 from events)"
+
+
 @query(
     "version_diff",
-    """with h as (select user_id, list(event_type order by ts, event_id) filter (ts < timestamp '2024-01-02') as a, list(event_type order by ts, event_id) filter (ts >= timestamp '2024-01-02' and ts < timestamp '2024-01-04') as b from events group by 1),
-x as (select user_id, list_filter(coalesce(b, []), lambda e: not list_contains(coalesce(a, []), e)) as p, list_filter(coalesce(a, []), lambda e: not list_contains(coalesce(b, []), e)) as m from h)
-select user_id, array_to_string(p, ',') as added, array_to_string(m, ',') as removed from x where len(p) > 0 or len(m) > 0""",
+    f"with x as (select user_id, event_type, count(*) filter (ts < {_HALF}) as a, count(*) filter (ts >= {_HALF}) as b from events group by 1, 2) select user_id, event_type as value, case when a = 0 then '+' else '-' end as change, greatest(a, b) as n from x where a = 0 or b = 0",
 )
 def version_diff(s, d):
-    cut = lambda cond: F.transform(F.array_sort(F.collect_list(F.when(F.expr(cond), F.struct("ts", "event_id", "event_type")))), lambda x: x["event_type"])
-    h = table(s, d, "events").groupBy("user_id").agg(cut("ts < '2024-01-02'").alias("a"), cut("ts >= '2024-01-02' and ts < '2024-01-04'").alias("b"))
-    return h.where(versions.diff(F.col("a"), F.col("b")).isNotNull()).select("user_id", F.concat_ws(",", versions.additions(F.col("a"), F.col("b"))).alias("added"), F.concat_ws(",", versions.additions(F.col("b"), F.col("a"))).alias("removed"))
+    e = table(s, d, "events")
+    low, high = e.agg(F.min("ts"), F.max("ts")).first()
+    half = F.lit(low + (high - low) / 2)
+    v = e.select("user_id", F.col("event_type").alias("value"), (F.col("ts") >= half).alias("later"))
+    return versions.diff_rows(v.where("not later"), v.where("later"), "user_id", "value")
 
 
 # ---------------------------------------------------------------- text
@@ -292,7 +307,7 @@ def term_frequency(s, d):
 
 @query("document_frequency", _TF + " select term, count(*) as df from tf group by 1 having count(*) >= 5")
 def document_frequency(s, d):
-    return text.document_frequency(term_frequency(s, d))
+    return text.document_frequency(text.distinct_terms(table(s, d, "documents")))
 
 
 _TFIDF = _TF + ", df as (select term, count(*) as df from tf group by 1 having count(*) >= 5), w as (select doc_id, tf.term, tf * log10((select count(*) from documents) / coalesce(df, 4)::double) as x from tf left join df on tf.term = df.term)"
@@ -304,18 +319,11 @@ def tfidf(s, d):
 
 
 def _tfidf(s: SparkSession, d: str) -> DataFrame:
-    tf = term_frequency(s, d)
+    tf = durable(term_frequency(s, d))
     return text.tf_idf(tf, text.document_frequency(tf), table(s, d, "documents").count())
 
 
-@query("cosine_pairs", _TFIDF + ", n as (select doc_id, sqrt(sum(x * x)) as n from w group by 1), p as (select doc_id as a, doc_id + 1 as b from documents where doc_id % 2 = 0 and doc_id + 1 in (select doc_id from documents)), e as (select a, b, sum(u.x * v.x) as dot from p join w u on u.doc_id = a join w v on v.doc_id = b and u.term = v.term group by 1, 2) select p.a, p.b, round(coalesce(dot, 0) / (na.n * nb.n), 6) as cosine from p left join e on p.a = e.a and p.b = e.b join n na on na.doc_id = p.a join n nb on nb.doc_id = p.b")
-def cosine_pairs(s, d):
-    docs = table(s, d, "documents").select("doc_id")
-    p = docs.where("doc_id % 2 = 0").select(F.col("doc_id").alias("a"), (F.col("doc_id") + 1).alias("b")).join(docs.withColumnRenamed("doc_id", "b"), "b", "left_semi")
-    return text.cosine_join(_tfidf(s, d), p).select("a", "b", F.round("cosine", 6).alias("cosine"))
-
-
-@query("cosine_search")
+@query("cosine_search", _TFIDF + ", n as (select doc_id, sqrt(sum(x * x)) as n from w group by 1), u as (select w.doc_id, term, x / n as x from w join n on w.doc_id = n.doc_id where n > 0), e as (select a.doc_id as a, b.doc_id as b, sum(a.x * b.x) as c from u a join u b on a.term = b.term and a.doc_id < b.doc_id group by 1, 2) select a, b, round(c, 6) as cosine from e where c >= 0.8")
 def cosine_search(s, d):
     return text.cosine_search(durable(_tfidf(s, d))).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
@@ -366,25 +374,37 @@ def clean_links(s, d):
     return aliases.clean_links(k, titles)
 
 
-_REDIRECTS = "with recursive e as (select o_orderkey as src, o_orderkey // 2 as dst from orders where o_orderkey >= 16), r as (select src, dst from e union all select r.src, e.dst from r join e on r.dst = e.src)"
+#: Keys lead to their halves; two of seven lead to each other, and so does nothing that meets them.
+_TARGET = "case when o_orderkey % 7 = 3 then o_orderkey + 1 when o_orderkey % 7 = 4 then o_orderkey - 1 else o_orderkey // 2 end"
 
 
-@query("redirect_closure", _REDIRECTS + " select src, min(dst) as dst from r where dst < 16 group by 1")
+@query("redirect_closure", f"with recursive e as (select o_orderkey as src, {_TARGET} as dst from orders), f as (select * from e where src <> dst), r as (select src, dst from f union select r.src, f.dst from r join f on r.dst = f.src) select src, dst from r where dst not in (select src from f)")
 def redirect_closure(s, d):
-    return aliases.resolve_redirects(table(s, d, "orders").where("o_orderkey >= 16").select(F.col("o_orderkey").alias("src"), F.floor(F.col("o_orderkey") / 2).cast("long").alias("dst")))
+    return aliases.resolve_redirects(table(s, d, "orders").select(F.col("o_orderkey").alias("src"), F.expr(_TARGET.replace("//", "div")).alias("dst")))
+
+
+#: Every class has two parents, and the seventh is also a subclass of a class far below it.
+_CLASSES = "select p_partkey as child, p_partkey // 3 as parent from part where p_partkey > 0 union select p_partkey, p_partkey // 4 + 1 from part where p_partkey > 0 and p_partkey // 4 + 1 <> p_partkey union select 7, 70"
 
 
-@query("subclass_paths", "with recursive e as (select p_partkey as child, p_partkey // 3 as parent from part where p_partkey > 0), r as (select 0::bigint as node, 1 as n, '0' as path union all select child, n + 1, path || '>' || child::varchar from r join e on node = parent) select node, path from r")
+@query("subclass_paths", f"with recursive e as ({_CLASSES}), r as (select 0::bigint as node, [0::bigint] as path union all select child, list_append(path, child) from r join e on node = parent where not list_contains(path, child) and len(path) < 9) select node, array_to_string(path, '>') as path from (select *, row_number() over (partition by node order by len(path), path) as k from r) where k = 1")
 def subclass_paths(s, d):
-    e = table(s, d, "part").where("p_partkey > 0").select(F.col("p_partkey").alias("child"), F.floor(F.col("p_partkey") / 3).cast("long").alias("parent"))
+    p = table(s, d, "part").where("p_partkey > 0").select(F.col("p_partkey").alias("child"))
+    one = p.select("child", F.expr("child div 3").alias("parent"))
+    e = one.union(p.select("child", F.expr("child div 4 + 1").alias("parent")).where("child <> parent")).union(s.sql("select 7L, 70L")).distinct()
     return aliases.subclass_paths(e, 0).select("node", F.concat_ws(">", F.transform("path", lambda x: x.cast("string"))).alias("path"))
 
 
-@query("alias_search")
+# ---------------------------------------------------------------- aliases in texts
+
+_ALIASES = f"with t as (select doc_id, regexp_extract_all(lower(text), '{text.WORD}') as w from documents), a as (select array_to_string(w, ' ') as alias, w, len(w) as n from (select distinct regexp_extract_all(lower(text), '{text.WORD}') as w from benchmark) where len(w) > 0), p as (select doc_id, unnest(range(len(w))) as pos, w as words, unnest(w) as first from t), c as (select doc_id, pos, alias, n, max(n) over (partition by doc_id, pos) as most from p join a on first = a.w[1] and words[pos + 1 : pos + n] = a.w), l as (select * from c where n = most)"
+
+
+@query("alias_search", _ALIASES + " select doc_id, alias, pos::int as pos from l where not exists (select 1 from l o where o.doc_id = l.doc_id and o.pos < l.pos and l.pos < o.pos + o.n)")
 def alias_search(s, d):
-    words = [r["a"] for r in table(s, d, "benchmark").select(F.array_join(text.words(F.lower("text")), " ").alias("a")).collect()]
+    passages = table(s, d, "benchmark").select(F.array_join(text.words(F.lower("text")), " ").alias("alias"))
     docs = table(s, d, "documents").select("doc_id", text.words(F.lower("text")).alias("tokens"))
-    return aliases.search(docs, words)
+    return aliases.search(docs, passages)
 
 
 # ---------------------------------------------------------------- relations and graphs
@@ -408,19 +428,22 @@ def cooccurrence_pairs(s, d):
 
 @query("relation_examples", _LISTS + ", t as (select l_orderkey, e from s where len(e) = 2), o as (select e from t group by 1 having count(*) >= 2) select l_orderkey, e[1] as a, e[2] as b, case when (e[1] + e[2]) % 5 = 0 then 1 else 0 end as related from t where e in (select e from o)")
 def relation_examples(s, d):
-    k = table(s, d, "supplier").select(F.col("s_suppkey").alias("src"))
-    known = k.crossJoin(k.select(F.col("src").alias("dst"))).where("src < dst and (src + dst) % 5 = 0")
-    return relations.relation_examples(_lists(s, d), known).select("l_orderkey", F.col("entities")[0].alias("a"), F.col("entities")[1].alias("b"), "related")
+    lists = _lists(s, d)
+    known = relations.pair_counts(lists).where("(a + b) % 5 = 0").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    return relations.relation_examples(lists, known).select("l_orderkey", F.col("entities")[0].alias("a"), F.col("entities")[1].alias("b"), "related")
 
 
 def _edges(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "orders").where("o_orderkey % 10 < 3").select((F.col("o_custkey") % 400).alias("src"), (F.col("o_orderkey") % 400 + 400).alias("dst")).distinct()
+    """Customers and suppliers with their nations, of all rows; ids are key * 3 + 0, 1 and 2 for the three kinds."""
+    c = table(s, d, "customer").select((F.col("c_custkey") * 3).alias("src"), (F.col("c_nationkey") * 3 + 1).cast("long").alias("dst"))
+    return c.union(table(s, d, "supplier").select((F.col("s_suppkey") * 3 + 2).alias("src"), (F.col("s_nationkey") * 3 + 1).cast("long").alias("dst"))).distinct()
 
 
-_EDGES = "with recursive e as (select distinct o_custkey % 400 as src, o_orderkey % 400 + 400 as dst from orders where o_orderkey % 10 < 3), u as (select src, dst from e union select dst, src from e)"
+_EDGES = "with recursive e as (select c_custkey * 3 as src, c_nationkey * 3 + 1 as dst from customer union select s_suppkey * 3 + 2, s_nationkey * 3 + 1 from supplier), u as (select src, dst from e union select dst, src from e)"
+_REACH = ", r as (select src as id, src as c from u union select u.dst, r.c from r join u on r.id = u.src), k as (select id, min(c) as component from r group by 1)"
 
 
-@query("connected_components", _EDGES + ", r as (select src as id, src as c from u union select u.dst, r.c from r join u on r.id = u.src) select id, min(c) as component from r group by 1")
+@query("connected_components", _EDGES + _REACH + " select id, component from k")
 def connected_components(s, d):
     return graph.components(_edges(s, d))
 
@@ -430,16 +453,27 @@ def degrees(s, d):
     return graph.degrees(_edges(s, d))
 
 
-@query("company_groups", _EDGES + ", r as (select src as id, src as c from u union select u.dst, r.c from r join u on r.id = u.src), k as (select id, min(c) as component from r group by 1), g as (select src as id, count(*) as n from u group by 1) select component, count(*) as size, string_agg(k.id::varchar, ',' order by n desc, k.id) as nodes from k join g on k.id = g.id group by 1 having count(*) >= 3")
+@query("company_groups", _EDGES + _REACH + ", g as (select src as id, count(*) as degree from u group by 1), z as (select component, count(*) as size from k group by 1 having count(*) >= 3) select k.component, size, k.id, degree from k join g on k.id = g.id join z on k.component = z.component")
 def company_groups(s, d):
-    return graph.component_groups(_edges(s, d)).select("component", "size", F.concat_ws(",", F.transform("nodes", lambda x: x.cast("string"))).alias("nodes"))
+    return graph.component_groups(_edges(s, d))
 
 
-_TRADE = "with e as (select distinct c_nationkey as src, s_nationkey as dst from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey where l_orderkey % 100 = 0)"
+#: Orders by status as relations of customers to orders, of which two count.
+@query(
+    "ownership_groups",
+    "with m as (select o_custkey * 2 as c, list(o_orderkey * 2 + 1) as o from orders where o_orderstatus in ('F', 'P') group by 1), k as (select least(c, list_min(o)) as component, len(o) + 1 as size, c, unnest(list_append(o, c)) as id, len(o) as n from m) select component, size, id, case when id = c then n else 1 end as degree from k where size >= 3",
+)
+def ownership_groups(s, d):
+    o = table(s, d, "orders").select((F.col("o_custkey") * 2).alias("src"), (F.col("o_orderkey") * 2 + 1).alias("dst"), F.col("o_orderstatus").alias("relation"))
+    return graph.ownership_groups(o, ("F", "P"))
+
+
+_TRADE = "with e as (select distinct c_nationkey as src, s_nationkey as dst from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey)"
 
 
 def _trade(s: SparkSession, d: str) -> DataFrame:
-    j = table(s, d, "lineitem").where("l_orderkey % 100 = 0").join(table(s, d, "orders"), F.expr("l_orderkey = o_orderkey")).join(table(s, d, "customer"), F.expr("o_custkey = c_custkey")).join(table(s, d, "supplier"), F.expr("l_suppkey = s_suppkey"))
+    """Which nations buy from which, of all line items."""
+    j = table(s, d, "lineitem").join(table(s, d, "orders"), F.expr("l_orderkey = o_orderkey")).join(table(s, d, "customer"), F.expr("o_custkey = c_custkey")).join(table(s, d, "supplier"), F.expr("l_suppkey = s_suppkey"))
     return j.select(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).distinct()
 
 
@@ -453,62 +487,44 @@ def motif_star(s, d):
     return graph.stars(_trade(s, d), 3)
 
 
-def _whole_edges(s: SparkSession, d: str) -> DataFrame:
-    """Customer to order and order to supplier, of all rows; ids are key * 3 + 0, 1 and 2 for the three kinds."""
-    o = table(s, d, "orders").select((F.col("o_custkey") * 3).alias("src"), (F.col("o_orderkey") * 3 + 1).alias("dst"))
-    return o.union(table(s, d, "lineitem").select((F.col("l_orderkey") * 3 + 1).alias("src"), (F.col("l_suppkey") * 3 + 2).alias("dst"))).distinct()
-
-
-def _whole_trade(s: SparkSession, d: str) -> DataFrame:
-    j = table(s, d, "lineitem").join(table(s, d, "orders"), F.expr("l_orderkey = o_orderkey")).join(table(s, d, "customer"), F.expr("o_custkey = c_custkey")).join(table(s, d, "supplier"), F.expr("l_suppkey = s_suppkey"))
-    return j.select(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).distinct()
-
-
-@query("connected_components_all")
-def connected_components_all(s, d):
-    return graph.components(_whole_edges(s, d))
-
-
-@query("degrees_all")
-def degrees_all(s, d):
-    return graph.degrees(_whole_edges(s, d))
-
-
-@query("company_groups_all")
-def company_groups_all(s, d):
-    return graph.component_groups(_whole_edges(s, d)).select("component", "size", F.concat_ws(",", F.transform("nodes", lambda x: x.cast("string"))).alias("nodes"))
-
-
-@query("motif_chain_all")
-def motif_chain_all(s, d):
-    return graph.chains(_whole_trade(s, d))
+# ---------------------------------------------------------------- values, exports, windows
 
 
-@query("motif_star_all")
-def motif_star_all(s, d):
-    return graph.stars(_whole_trade(s, d), 3)
+@query(
+    "json_claims",
+    "select event_id, case event_id % 5 when 0 then 'Q' || event_id::varchar when 1 then (user_id % 90)::varchar || '.5;' || (user_id % 180)::varchar || '.25' when 2 then '+' || user_id::varchar || ';' || 'Q11573' when 3 then '+2017-01-01T00:00:00Z' else event_type end as claim, (props->>'$.k') as k, coalesce((props->>'$.k')::double > 50, false) as high from events",
+)
+def json_claims(s, d):
+    u, e = F.col("user_id"), F.col("event_id")
+    field = lambda **kv: F.to_json(F.struct(F.struct(*[v.alias(k) for k, v in kv.items()]).alias("value")))
+    place = field(latitude=F.concat((u % 90).cast("string"), F.lit(".5")), longitude=F.concat((u % 180).cast("string"), F.lit(".25")))
+    amount = field(amount=F.concat(F.lit("+"), u.cast("string")), unit=F.lit("http://www.wikidata.org/entity/Q11573"))
+    text_ = F.to_json(F.struct(F.col("event_type").alias("value")))
+    json = F.when(e % 5 == 0, field(id=F.concat(F.lit("Q"), e.cast("string")))).when(e % 5 == 1, place).when(e % 5 == 2, amount).when(e % 5 == 3, field(time=F.lit("+2017-01-01T00:00:00Z"))).otherwise(text_)
+    k = norm.claim(F.col("props"), "$.k")
+    return table(s, d, "events").select("event_id", norm.claim(json, "$.value").alias("claim"), k.alias("k"), F.coalesce(k.try_cast("double") > 50, F.lit(False)).alias("high"))
 
 
-# ---------------------------------------------------------------- values, exports, windows
+_FORMS = [("X GmbH & Co. KG", "GmbH & Co. KG"), ("X GmbH", "GmbH"), ("X Aktiengesellschaft", "AG"), ("X AG", "AG"), ("X e.V.", "e.V."), ("X e. K.", "e.K."), ("X OHG", "oHG"), ("X GbR", "GbR"), ("X KGaA", "KGaA"), ("X KG", "KG"), ("X SE", "SE"), ("X Ltd.", "Ltd."), ("X UG (haftungsbeschränkt)", "UG haftungsbeschränkt"), ("X Magazin", None), ("Magnus Sechser", None)]
 
 
-@query("json_claims", "select event_id, props->>'$.k' as k, coalesce((props->>'$.k')::double > 50, false) as high from events")
-def json_claims(s, d):
-    k = norm.claim(F.col("props"), "$.k")
-    return table(s, d, "events").select("event_id", k.alias("k"), F.coalesce(k.try_cast("double") > 50, F.lit(False)).alias("high"))
+def pick(i: str, values: list) -> str:
+    """SQL for the value at an index; null where it is None."""
+    return f"case {i} " + " ".join(f"when {k} then '{v}'" for k, v in enumerate(values) if v is not None) + " end"
 
 
-@query("legal_form", "select s_suppkey, case s_suppkey % 4 when 0 then 'GmbH & Co. KG' when 1 then 'AG' when 2 then 'e.V.' else null end as form from supplier")
+@query("legal_form", f"select s_suppkey, {pick(f's_suppkey % {len(_FORMS)}', [b for _, b in _FORMS])} as form from supplier")
 def legal_form(s, d):
-    k = F.col("s_suppkey") % 4
-    name = F.concat_ws(" ", "s_name", F.when(k == 0, "GmbH & Co KG").when(k == 1, "AG").when(k == 2, "e.V.").otherwise("Handel"))
+    name = F.expr(pick(f"s_suppkey % {len(_FORMS)}", [a for a, _ in _FORMS]))
     return table(s, d, "supplier").select("s_suppkey", norm.legal_form(name).alias("form"))
 
 
-@query("normalise_country", "select n_nationkey, case n_nationkey % 3 when 0 then 'DE' when 1 then 'FR' end as code from nation")
+_COUNTRIES = [("Deutschland", "DE"), ("Frankreich", "FR"), ("Österreich", "AT"), ("Schweiz", "CH"), ("Ungarn", "HU"), ("Griechenland", "GR"), ("Neuseeland", "NZ"), ("Vereinigte Staaten", "US"), ("XY", "XY"), ("Nirgendwo", None), ("Norwegen", "NO"), ("Brasilien", "BR"), ("Ägypten", "EG")]
+
+
+@query("normalise_country", f"select s_suppkey, {pick(f's_suppkey % {len(_COUNTRIES)}', [b for _, b in _COUNTRIES])} as code from supplier")
 def normalise_country(s, d):
-    k = F.col("n_nationkey") % 3
-    return table(s, d, "nation").select("n_nationkey", norm.country_code(F.when(k == 0, "Deutschland").when(k == 1, "France").otherwise(F.col("n_name"))).alias("code"))
+    return table(s, d, "supplier").select("s_suppkey", norm.country_code(F.expr(pick(f"s_suppkey % {len(_COUNTRIES)}", [a for a, _ in _COUNTRIES]))).alias("code"))
 
 
 @query("csv_nodes", """select '"' || s_suppkey::varchar || '","' || s_name || '","' || s_nationkey::varchar || '"' as value from supplier""")
@@ -532,7 +548,7 @@ def remove_component(s, d):
 
 @query("kmeans")
 def kmeans(s, d):
-    return embeddings.k_means(table(s, d, "embeddings"), "embedding", k=10, iterations=40).select("vec_id", "cluster")
+    return embeddings.k_means(table(s, d, "embeddings"), "embedding", k=100).select("vec_id", "cluster")
 
 
 def _labelled(s: SparkSession, d: str) -> DataFrame:
@@ -542,11 +558,10 @@ def _labelled(s: SparkSession, d: str) -> DataFrame:
 
 @query("rf_classifier")
 def rf_classifier(s, d):
-    rows = _labelled(s, d)
-    return learning.random_forest(rows, ["x1", "x2", "x3"], "label").transform(rows).select("doc_id", "prediction")
+    """Each row by a forest trained on the other folds."""
+    return learning.cross_predict(_labelled(s, d), lambda rows: learning.random_forest(rows, ["x1", "x2", "x3"], "label"), ["doc_id"]).select("doc_id", "prediction")
 
 
 @query("naive_bayes")
 def naive_bayes(s, d):
-    rows = _labelled(s, d)
-    return learning.naive_bayes(rows, ["x1", "x2", "x3"], "label").transform(rows).select("doc_id", "prediction")
+    return learning.cross_predict(_labelled(s, d), lambda rows: learning.naive_bayes(rows, ["x1", "x2", "x3"], "label"), ["doc_id"]).select("doc_id", "prediction")

@@ -47,6 +47,11 @@ def test_query_without_sql_runs(spark, name):
     assert QUERIES[name](spark, DATA).count() >= 0
 
 
+def test_no_query_compares_nothing(duck):
+    """Each query's SQL has rows on the smallest tables, but where no two suppliers share a nation."""
+    assert {n for n in ORACLES if not duck.execute(f"select count(*) from ({ORACLES[n]})").fetchall()[0][0]} <= {"sim_relnum", "imported_relations"}
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from loomwright.functions import bags, stem
 from loomwright.functions import normalise as norm
 from loomwright.functions import similarity as sim
 from loomwright.operators import aliases, blocking, embeddings, graph, relations, resolution, text, versions
@@ -76,7 +77,7 @@ def test_second_order(spark):
 
 def test_redirects(spark):
     e = spark.createDataFrame([("1", "3"), ("3", "6"), ("4", "5"), ("5", "4"), ("7", "7"), ("EU", "Europäische Union")], "src string, dst string")
-    assert {(r["src"], r["dst"]) for r in aliases.resolve_redirects(e, max_rounds=6).collect()} == {("1", "6"), ("3", "6"), ("EU", "Europäische Union")}
+    assert {(r["src"], r["dst"]) for r in aliases.resolve_redirects(e).collect()} == {("1", "6"), ("3", "6"), ("EU", "Europäische Union")}
 
 
 def test_blocking_keys(spark):
@@ -87,14 +88,26 @@ def test_blocking_keys(spark):
     assert one(spark, blocking.mapped(F.array().cast("array<string>"), F.upper)) == ["undefined"]
 
 
-def test_block_split_covers_all_pairs(spark):
-    m = spark.createDataFrame([("t", "k", side, i) for side, n in (("subject", 23), ("staging", 7)) for i in range(n)], "tag string, key string, side string, id int")
-    parts = blocking.split(m, 30).collect()
+@pytest.mark.parametrize(("left", "right", "most"), [(23, 7, 30), (3, 50, 10), (40, 40, 7), (5, 5, 1), (1, 9, 4)])
+def test_block_split_covers_all_pairs(spark, left, right, most):
+    m = spark.createDataFrame([("t", "k", side, i) for side, n in (("subject", left), ("staging", right)) for i in range(n)], "tag string, key string, side string, id int")
+    parts = blocking.split(m, most).collect()
     by = {}
     for r in parts:
         by.setdefault(r["part"], {"subject": set(), "staging": set()})[r["side"]].add(r["id"])
     pairs = [(a, b) for p in by.values() for a in p["subject"] for b in p["staging"]]
-    assert sorted(pairs) == sorted((a, b) for a in range(23) for b in range(7))
+    assert sorted(pairs) == sorted((a, b) for a in range(left) for b in range(right))
+    assert max(len(p["subject"]) * len(p["staging"]) for p in by.values()) <= most
+
+
+@pytest.mark.parametrize("most", [4, 1 << 20])
+def test_pairs_of_blocks_are_in_their_first_block(spark, most):
+    rows = [(i, f"n{i % 4}", f"p{i % 3}" if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, name string, postal string")
+    schemes = {"name": F.array("name"), "postal": F.array("postal")}
+    got = [(r["s_id"], r["t_id"]) for r in blocking.block_pairs(df.where("id < 30"), df.where("id >= 30"), (schemes, schemes), most).collect()]
+    want = [(a, b) for a, n, p in rows[:30] for b, m, q in rows[30:] if n == m or (p is not None and p == q)]
+    assert sorted(got) == sorted(want)
 
 
 def test_tf_idf(spark):
@@ -110,6 +123,42 @@ def test_context(spark):
     assert one(spark, text.context(t, F.lit(1), F.lit(1), 3)) == ["t0", "t2", "t3", "t4"]
 
 
+def test_dictionaries_as_trie_and_as_join(spark):
+    docs = spark.createDataFrame([(1, "a b c d a b x".split()), (2, ["b", "c"]), (3, []), (4, None)], "doc_id int, tokens array<string>")
+    known = spark.createDataFrame([("a",), ("a b",), ("b c d",), ("c  d",), ("b",), ("",), (None,), ("zz",)], "alias string")
+    for everything in (False, True):
+        trie, join = ({tuple(r) for r in aliases.search(docs, known, everything=everything, limit=n).collect()} for n in (1 << 20, 0))
+        assert trie == join and trie
+    assert trie >= {(1, "a", 0), (1, "a b", 0), (1, "b c d", 1), (1, "c d", 2), (2, "b", 0)}
+
+
+def test_stems():
+    for word, want in {"abschließen": "abschliess", "abschließender": "abschliess", "Häuser": "hau", "singt": "sing", "singen": "sing", "beliebt": "belieb", "schön": "schon", "gegessen": "gess", "x1": "x1"}.items():
+        assert stem.stem(word) == want, word
+
+
+def test_tokenizers(spark):
+    t = F.lit("The Häuser, the singen!")
+    assert one(spark, text.tokenizer(["words", "false", "true"])(t)) == ["the", "hau", "the", "sing"]
+    assert one(spark, text.tokenizer(["clean", "true", "false"])(t, ("the",))) == ["The", "Häuser", "singen"]
+    for bad in (["none"], ["words", "true", "true", "true"]):
+        with pytest.raises(ValueError):
+            text.tokenizer(bad)
+
+
+def test_bags(spark):
+    a, b = bags.of(F.array(*map(F.lit, "aabc"))), bags.of(F.array(*map(F.lit, "bcd")))
+    assert one(spark, bags.plus(a, b)) == {"a": 2, "b": 2, "c": 2, "d": 1} and one(spark, bags.minus(a, b)) == {"a": 2}
+    assert one(spark, bags.normalise(a)) == {"a": 1.0, "b": 0.5, "c": 0.5} and one(spark, bags.size(a)) == 4
+    assert one(spark, bags.add(a, F.lit("z"), 2))["z"] == 2 and "b" not in one(spark, bags.remove(a, F.lit("b")))
+
+
+def test_undefined_scores_are_kept(spark):
+    c = spark.createDataFrame([(0, 0, 0), (1, 1, 0)], "tp long, fp long, fn long")
+    r = resolution.precision_recall(c, undefined=float("nan")).collect()
+    assert math.isnan(r[0]["precision"]) and math.isnan(r[0]["f1"]) and r[1]["precision"] == 0.5 and r[1]["recall"] == 1.0
+
+
 def test_trie():
     t = aliases.Trie([["a"], ["a", "b"], ["a", "b", "c"], ["x", "y"]])
     assert t.contains(["a", "b"]) and not t.contains(["x"]) and t.has_prefix(["x"])
@@ -164,6 +213,9 @@ def test_normalisers(spark):
     assert f(norm.url_decode(F.lit("/A%20b_c+d%zz"))) == "A b c+d%zz"
     assert f(norm.map_attributes(F.create_map(F.lit("p1"), F.array(F.lit("x"))), {"a": ["p1", "p2"], "b": ["p3"]})) == {"a": ["x"]}
     assert f(norm.clean_triple(F.lit('<http://x/a> <http://x/b> "c" .')))[:2] == ["http://x/a", "http://x/b"]
+    assert f(norm.clean_triple(F.lit('<http://x/a> <http://x/b> "c"@de .'), {"http://x/": "x:"}, "@de$"))[:2] == ["x:a", "x:b"]
+    assert f(norm.legal_forms(F.array(*map(F.lit, ["Verein", "Foo gmbh &Co KG", "x e. V.", "Gewerbe", "SE"])))) == ["e.V.", "GmbH & Co. KG", "Gewerbe", "SE"]
+    assert f(norm.country_code(F.lit("Ungarn"))) == "HU" and f(norm.country_code(F.lit("Nirgendwo"))) is None
 
 
 def test_sources(spark, tmp_path):
@@ -178,7 +230,11 @@ def test_sources(spark, tmp_path):
 def test_graph(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "src int, dst int")
     assert {r["component"] for r in graph.components(chain).collect()} == {0, 100}
-    assert [(r["size"], r["nodes"][-2:]) for r in graph.component_groups(chain).collect()] == [(61, [0, 60])]
+    groups = graph.component_groups(chain)
+    assert sorted((r["component"], r["size"], r["id"], r["degree"]) for r in groups.collect()) == [(0, 61, i, 1 if i in (0, 60) else 2) for i in range(61)]
+    assert [(r["size"], r["nodes"][-2:], r["type"]) for r in graph.result_graphs(groups, "chain").collect()] == [(61, [0, 60], "chain")]
+    owned = chain.withColumn("relation", F.when(F.col("src") < 5, "owns").when(F.col("src") < 30, "knows").otherwise("part of"))
+    assert {(r["component"], r["size"]) for r in graph.ownership_groups(owned, ("owns", "part of")).collect()} == {(0, 6), (30, 31)}
     assert graph.components(chain.where("src < 0")).count() == 0
 
 

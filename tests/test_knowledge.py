@@ -1,7 +1,7 @@
 import pytest
 
 from loomwright.operators import knowledge
-from loomwright.plans import config, jobs
+from loomwright.plans import config
 from loomwright.sources import wiki
 
 
@@ -76,20 +76,14 @@ XML = el(
         el("attribute", el("key", "name"), el("weight", "0.8"), feature("JaroWinkler", el("weight", "0.7")), feature("MongeElkan", el("weight", "0.3"), el("scale", "2"))),
         el("attribute", el("key", "urls"), el("weight", "0.2"), feature("UrlCompare")),
     ),
+    el("sectorMapping", el("sector", el("key", "Bau"), el("mapping", "a"), el("mapping", "b"))),
     el("attributeMapping", el("attribute", el("key", "city"), el("mapping", "P1"), el("mapping", "P2"))),
 )
 
 
 def test_config():
     c = config.read(XML)
-    assert c.settings == {"minConfidence": "0.7", "t": "b"} and c.mapping == {"city": ["P1", "P2"]}
+    assert c.settings == {"minConfidence": "0.7", "t": "b"} and c.mapping == {"city": ["P1", "P2"]} and c.sectors == {"Bau": ["a", "b"]}
     assert c.similarity == {"name": (0.8, [("JaroWinkler", 0.7, 1), ("MongeElkan", 0.3, 2)]), "urls": (0.2, [("UrlCompare", 1.0, 1)])}
     with pytest.raises(ValueError):
         config.read(XML.replace("UrlCompare", "RoughlyEqualNumbers"))
-
-
-def test_job_runs(spark, tmp_path):
-    assert jobs.run(spark, "csv_nodes", "/root/testdata/sf0.001", str(tmp_path)) == ["csv_nodes"]
-    assert spark.read.parquet(str(tmp_path / "csv_nodes.parquet")).count() == 10
-    with pytest.raises(ValueError):
-        jobs.run(spark, "none", "x", "y")
