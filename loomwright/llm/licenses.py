@@ -77,3 +77,16 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = K, g
     words = F.size(F.array_distinct(F.flatten(F.transform("tpos", lambda p: F.sequence(p, p + k - 1)))))
     out = spans.select("doc_id", "license", F.col("lo").alias("first_word"), (F.col("hi") + k - 1).alias("last_word"), F.round(words / F.col("words"), 6).alias("coverage"))
     return out.where(F.col("coverage") >= cover)
+
+
+def sql(k: int = K, gap: int = GAP, cover: float = COVER) -> str:
+    """The same in DuckDB's SQL, on grams as text."""
+    words = r"regexp_extract_all(lower(text), '[^\x00-/:-@\x5b-\x60\x7b-\x7f]+')"
+    given = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in sorted(TEMPLATES.items()))
+    gram = "array_to_string(w[p + 1 : p + {}], ' ')".format(k)
+    return f"""
+with d as (select doc_id, md5(text) as copy, {words} as w from (select distinct doc_id, text from documents)), g as (select doc_id, copy, p as dpos, {gram} as gram from (select doc_id, copy, w, unnest(range(len(w) - {k - 1})) as p from d where len(w) >= {k})),
+t as (select license, len(w) as words, p as tpos, {gram} as gram from (select license, w, unnest(range(len(w) - {k - 1})) as p from (select license, {words} as w from (values {given}) as x(license, text)))),
+v as (select doc_id, copy, license, words, dpos - tpos as diagonal, dpos, tpos from g join t on g.gram = t.gram), r as (select *, diagonal - lag(diagonal) over (partition by doc_id, copy, license order by diagonal) as step from (select distinct doc_id, copy, license, diagonal from v)),
+n as (select *, sum(case when step <= {gap} then 0 else 1 end) over (partition by doc_id, copy, license order by diagonal) as run from r), c as (select v.doc_id, v.copy, v.license, words, run, dpos, unnest(range(tpos, tpos + {k})) as covered from v join n on v.doc_id is not distinct from n.doc_id and v.copy = n.copy and v.license = n.license and v.diagonal = n.diagonal)
+select doc_id, license, min(dpos)::int as first_word, (max(dpos) + {k - 1})::int as last_word, round(count(distinct covered) / words::double, 6) as coverage from c group by doc_id, copy, license, words, run having round(count(distinct covered) / words::double, 6) >= {cover}"""

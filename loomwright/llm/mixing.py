@@ -111,5 +111,5 @@ def _in_order(docs: DataFrame, taken: DataFrame, node: str) -> DataFrame:
     more = running(places.join(small(repeated), node, "left_semi"), [node], [slot, begins], F.lit(1), rank)
     rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
     again = marked.join(small(repeated), node, "left_semi").withColumn(other, F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.lit(""))
-    again = running(again, [node], [other], F.lit(1), rank).drop(other).join(more, [node, rank]).drop(rank)
+    again = running(durable(again), [node], [other], F.lit(1), rank).drop(other).join(more, [node, rank]).drop(rank)
     return once.unionByName(again).orderBy(slot, begins, node).select(*docs.columns)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import dedup, licenses, media, mixing, packing, pii, quality, sharding, toxicity, urlgraph
 from .common import table
@@ -70,4 +69,4 @@ select slot, p.source, block, doc_id, n_tokens, begins from p join q on p.source
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": _mixing_sql(), "op8_url_filter": urlgraph.sql()}
+    return {"op5_mixing": _mixing_sql(), "op8_url_filter": urlgraph.sql(), "op9_license_scan": licenses.sql()}
