@@ -65,7 +65,7 @@ def chunk_keys(positions: int, chunks: int, threshold: int) -> list[list[int]]:
     return [list(keep) for a, b in zip(edges, edges[1:], strict=False) for keep in combinations(range(a, b), max(0, b - a - errors))]
 
 
-def _forest(nodes: list[bytes], sigs: list[bytes], side: np.ndarray, threshold: int) -> list[tuple[bytes, bytes]]:
+def _forest(nodes: list[int], sigs: list[bytes], side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
     """Edges that connect what pairs within the threshold connect: a breadth-first search that compares each found
     node with all that aren't reached yet; where there are two sides, with those of the other side."""
     m = np.frombuffer(b"".join(sigs), dtype="<u2").reshape(len(sigs), -1)
@@ -86,7 +86,7 @@ def _forest(nodes: list[bytes], sigs: list[bytes], side: np.ndarray, threshold:
 
 
 def _verify(threshold: int):
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -101,7 +101,7 @@ def _verify(threshold: int):
                 for x, y in _forest(nodes[lo:hi], sigs[lo:hi], side[lo:hi], threshold):
                     a.append(x)
                     b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
 
     return run
 
@@ -130,10 +130,11 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
 
 
 def signed(docs: DataFrame, positions: int = POSITIONS, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, sig): node is a 128-bit hash of doc_id and text."""
+    """(node, content, doc_id, copies, sig): one row for each different (doc_id, text), which a 128-bit hash tells apart, numbered."""
     text = bounded(docs).select("doc_id", "text")
-    rows = text.select("doc_id", content_key("doc_id", "text").alias("node"), _signature_udf(positions, shingle)("text").alias("sig"))
-    return durable(rows.where("sig is not null"))
+    rows = text.select("doc_id", content_key("doc_id", "text").alias("content"), _signature_udf(positions, shingle)("text").alias("sig"))
+    nodes = durable(rows.where("sig is not null").groupBy("content", "doc_id", "sig").agg(F.count(F.lit(1)).alias("copies")))
+    return nodes.withColumn("node", F.monotonically_increasing_id())
 
 
 def _tiled(keyed: DataFrame, tile: int) -> DataFrame:
@@ -146,38 +147,35 @@ def _tiled(keyed: DataFrame, tile: int) -> DataFrame:
     return t.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node")
 
 
-def near_edges(sigs: DataFrame, positions: int, chunks: int, threshold: int, tile: int = TILE) -> DataFrame:
+def near_edges(nodes: DataFrame, positions: int, chunks: int, threshold: int, tile: int = TILE) -> DataFrame:
     """(a, b) edges between nodes whose components are those of all pairs within the threshold."""
-    reps = durable(sigs.groupBy("sig").agg(F.min("node").alias("node")))
-    same = sigs.join(reps.withColumnRenamed("node", "rep"), "sig").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    reps = durable(nodes.groupBy("sig").agg(F.min("node").alias("node")))
+    same = nodes.select("node", "sig").join(reps.withColumnRenamed("node", "rep"), "sig").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.substring("sig", 2 * p + 1, 2) for p in keep]) for i, keep in enumerate(chunk_keys(positions, chunks, threshold))])
-    # nodes are numbered for the shuffles of keys: 8 bytes of the node's hash, by which the node is looked up again
-    parts = _tiled(reps.select(F.xxhash64("node").alias("node"), F.explode(keys).alias("key")), tile)
+    parts = _tiled(reps.select("node", F.explode(keys).alias("key")), tile)
     of = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("node")))).alias(f"side{side}")
     bucket = parts.groupBy("key", "i", "j").agg(of(0), of(1)).where(F.size("side0") + F.size("side1") > 1).select("side0", "side1").distinct()
-    bucket = bucket.select(F.xxhash64("side0", "side1").alias("bucket"), F.size("side0").alias("first"), F.posexplode(F.concat("side0", "side1")).alias("at", "short")).select("bucket", (F.col("at") >= F.col("first")).cast("int").alias("side"), "short")
-    found = bucket.join(reps.withColumn("short", F.xxhash64("node")), "short")
-    members = found.groupBy("bucket").agg(F.collect_list(F.struct("node", "sig", "side")).alias("members")).select("members")
-    return same.union(members.mapInArrow(_verify(threshold), "a binary, b binary"))
+    bucket = bucket.select(F.xxhash64("side0", "side1").alias("bucket"), F.size("side0").alias("first"), F.posexplode(F.concat("side0", "side1")).alias("at", "node")).select("bucket", (F.col("at") >= F.col("first")).cast("int").alias("side"), "node")
+    members = bucket.join(reps, "node").groupBy("bucket").agg(F.collect_list(F.struct("node", "sig", "side")).alias("members")).select("members")
+    return same.union(members.mapInArrow(_verify(threshold), "a long, b long"))
 
 
 def groups(docs: DataFrame, positions: int = POSITIONS, chunks: int = CHUNKS, threshold: int = THRESHOLD, shingle: int = SHINGLE, tile: int = TILE) -> DataFrame:
-    """(doc_id, node, keep_id, keep_node, copies) for every document of a group of near duplicates and every repeated
-    row; the group's least (doc_id, node) stays.  Rows that are equal in doc_id and text share a node."""
-    sigs = signed(docs, positions, shingle)
-    nodes = sigs.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    roots = components(near_edges(sigs, positions, chunks, threshold, tile))
+    """(doc_id, content, keep_id, keep, copies) for every document of a group of near duplicates and every repeated
+    row; the group's least (doc_id, content) stays.  Rows that are equal in doc_id and text share a content."""
+    nodes = signed(docs, positions, shingle)
+    roots = components(near_edges(nodes, positions, chunks, threshold, tile))
     roots = durable(roots.union(roots.select(F.col("root").alias("node"), "root")).distinct())
-    member = nodes.join(roots, "node", "left").where("root is not null or copies > 1").withColumn("root", F.coalesce("root", "node"))
-    keep = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "node")).alias("k"))
-    return member.join(keep, "root").select("doc_id", "node", F.col("k.doc_id").alias("keep_id"), F.col("k.node").alias("keep_node"), "copies")
+    member = nodes.drop("sig").join(roots, "node", "left").where("root is not null or copies > 1").withColumn("root", F.coalesce("root", "node"))
+    keep = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "content")).alias("k"))
+    return member.join(keep, "root").select("doc_id", "content", F.col("k.doc_id").alias("keep_id"), F.col("k.content").alias("keep"), "copies")
 
 
 def near_duplicates(docs: DataFrame, **params) -> DataFrame:
     """(doc_id, duplicate_of): each different text of a document that isn't kept, and the kept document of its group.  Rows that share the kept
     row's doc_id aren't listed, as the pair would name one document; ``drop_near_duplicates`` drops them."""
     g = groups(docs, **params)
-    return g.where("node <> keep_node or copies > 1").select("doc_id", F.col("keep_id").alias("duplicate_of")).where("not (doc_id <=> duplicate_of)")
+    return g.where("content <> keep or copies > 1").select("doc_id", F.col("keep_id").alias("duplicate_of")).where("not (doc_id <=> duplicate_of)")
 
 
 def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
@@ -185,7 +183,7 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
     text the one whose other columns are first as JSON.  Texts aren't shuffled while the decisions are few enough to broadcast."""
     g = durable(groups(docs, **params))
     node, act, other = fresh(docs, "node"), fresh(docs, "act"), fresh(docs, "other")
-    acts = durable(g.where("node <> keep_node or copies > 1").select(F.col("node").alias(node), F.when(F.col("node") != F.col("keep_node"), "drop").otherwise("once").alias(act)))
+    acts = durable(g.where("content <> keep or copies > 1").select(F.col("content").alias(node), F.when(F.col("content") != F.col("keep"), "drop").otherwise("once").alias(act)))
     marked = docs.withColumn(node, content_key("doc_id", "text")).join(small(acts), node, "left")
     stay = marked.where(F.col(act).isNull()).drop(node, act)
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
