@@ -195,6 +195,11 @@ def entity_id(s: Column) -> Column:
     return s.rlike("^[PQ][0-9]+$")
 
 
+def unit_id(s: Column) -> Column:
+    """Whether a value ends with the id of its unit."""
+    return s.rlike(";[PQ][0-9]+$")
+
+
 def clean_triple(line: Column, prefixes: dict[str, str] | None = None, remove: str | None = None) -> Column:
     """Three cleaned parts of a triple's line, prefixes in place of addresses, in the order given; then what the pattern ``remove`` matches goes."""
     parts = F.filter(F.transform(F.split(line, "> "), lambda x: F.regexp_replace(F.trim(x), "^<|[<>\"]", "")), lambda x: ~x.isin("", "."))

@@ -127,6 +127,14 @@ def _joined(docs: DataFrame, known: DataFrame, token_column: str, everything: bo
     return best.withColumn("reach", reach).where("reach is null or pos >= reach").select("doc_id", "alias", "pos")
 
 
+def unlinked(found: DataFrame, links: DataFrame, stop: tuple[str, ...] = ()) -> DataFrame:
+    """Of the longest matches (doc_id, alias, pos) those that begin where no link (doc_id, pos) does, without stop words and symbols: the mentions that are
+    still to be linked."""
+    left = found.join(links.select("doc_id", "pos").distinct(), ["doc_id", "pos"], "left_anti")
+    left = left.where(F.col("alias").rlike(r"[\p{L}\p{N}]"))
+    return left.where(~F.lower("alias").isin(*stop)) if stop else left
+
+
 def anchors(pages: DataFrame) -> DataFrame:
     """(page_id, alias, page): the links of every page; empty aliases and links are dropped."""
     links = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("page"), F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("alias"))

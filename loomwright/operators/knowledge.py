@@ -73,6 +73,15 @@ def sentences_with_entities(articles: DataFrame) -> DataFrame:
     return s.select("title", "start", "sentence", ents.alias("entities")).where(F.size("entities") > 1)
 
 
+#: Relations whose objects are places, of which sentences about companies name many.
+PLACE_RELATIONS = ("country", "location", "locationCity", "locationCountry", "city", "state", "region", "headquarter")
+
+
+def unwanted_pages(relations: DataFrame, names: DataFrame, kinds: tuple[str, ...] = PLACE_RELATIONS) -> DataFrame:
+    """(page): objects of the kinds of relations (subject, relation, object), and the (page) that a list names."""
+    return relations.where(F.col("relation").isin(*kinds)).select(F.col("object").alias("page")).unionByName(names.select("page")).distinct()
+
+
 def filter_sentence_entities(sentences: DataFrame, companies: DataFrame, unwanted: DataFrame) -> DataFrame:
     """Entities that are companies (page) and not unwanted (page); sentences with more than one left."""
     e = sentences.select("title", "start", "sentence", F.posexplode("entities").alias("i", "e")).withColumn("page", F.col("e.entity"))

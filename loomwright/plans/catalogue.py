@@ -251,10 +251,10 @@ def connect_masters(s, d):
     return resolution.connect_masters(rel, mem)
 
 
-@query("name_relation_matching", "select p_name as name, min(p_partkey) as id from part group by 1 having count(distinct p_partkey) = 1 or count(distinct p_brand) = 1")
+@query("name_relation_matching", "with p as (select p_name || ' ' || p_size::varchar as name, p_partkey, p_brand from part) select name, min(p_partkey) as id from p group by 1 having count(distinct p_partkey) = 1 or count(distinct p_brand) = 1")
 def name_relation_matching(s, d):
-    p = table(s, d, "part")
-    return resolution.match_names(p.select(F.col("p_name").alias("name")), p.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("id"), F.col("p_brand").alias("master")))
+    p = table(s, d, "part").withColumn("name", F.concat_ws(" ", "p_name", F.col("p_size").cast("string")))
+    return resolution.match_names(p.select("name"), p.select("name", F.col("p_partkey").alias("id"), F.col("p_brand").alias("master")))
 
 
 @query("upsert_columns", "select c_custkey, c_mktsegment, case when c_custkey % 3 = 0 then 0.0 else c_acctbal end as c_acctbal from customer")
@@ -285,13 +285,13 @@ _HALF = "(select min(ts) + (max(ts) - min(ts)) / 2 from events)"
 
 @query(
     "version_diff",
-    f"with x as (select user_id, event_type, count(*) filter (ts < {_HALF}) as a, count(*) filter (ts >= {_HALF}) as b from events group by 1, 2) select user_id, event_type as value, case when a = 0 then '+' else '-' end as change, greatest(a, b) as n from x where a = 0 or b = 0",
+    f"with x as (select user_id, event_type || '/' || hour(ts)::varchar as value, count(*) filter (ts < {_HALF}) as a, count(*) filter (ts >= {_HALF}) as b from events group by 1, 2) select user_id, value, case when a = 0 then '+' else '-' end as change, greatest(a, b) as n from x where a = 0 or b = 0",
 )
 def version_diff(s, d):
     e = table(s, d, "events")
     low, high = e.agg(F.min("ts"), F.max("ts")).first()
     half = F.lit(low + (high - low) / 2)
-    v = e.select("user_id", F.col("event_type").alias("value"), (F.col("ts") >= half).alias("later"))
+    v = e.select("user_id", F.concat_ws("/", "event_type", F.hour("ts").cast("string")).alias("value"), (F.col("ts") >= half).alias("later"))
     return versions.diff_rows(v.where("not later"), v.where("later"), "user_id", "value")
 
 
@@ -397,7 +397,10 @@ def subclass_paths(s, d):
 
 # ---------------------------------------------------------------- aliases in texts
 
-_ALIASES = f"with t as (select doc_id, regexp_extract_all(lower(text), '{text.WORD}') as w from documents), a as (select array_to_string(w, ' ') as alias, w, len(w) as n from (select distinct regexp_extract_all(lower(text), '{text.WORD}') as w from benchmark) where len(w) > 0), p as (select doc_id, unnest(range(len(w))) as pos, w as words, unnest(w) as first from t), c as (select doc_id, pos, alias, n, max(n) over (partition by doc_id, pos) as most from p join a on first = a.w[1] and words[pos + 1 : pos + n] = a.w), l as (select * from c where n = most)"
+_ALIASES = f"""with t as (select doc_id, regexp_extract_all(lower(text), '{text.WORD}') as w from documents), a as (select array_to_string(w, ' ') as alias, w, len(w) as n from (select distinct regexp_extract_all(lower(text), '{text.WORD}') as w from benchmark) where len(w) > 0),
+x as (select doc_id, unnest(range(len(w))) as pos, unnest(w) as one from t), p as (select *, lead(one) over (partition by doc_id order by pos) as two, lead(one, 2) over (partition by doc_id order by pos) as three from x),
+h as (select doc_id, pos, alias, n, a.w as aw from p join a on one = a.w[1] and (n < 2 or two = a.w[2]) and (n < 3 or three = a.w[3])),
+c as (select h.doc_id, pos, alias, n, max(n) over (partition by h.doc_id, pos) as most from h join t on h.doc_id = t.doc_id and t.w[pos + 1 : pos + n] = aw), l as (select * from c where n = most)"""
 
 
 @query("alias_search", _ALIASES + " select doc_id, alias, pos::int as pos from l where not exists (select 1 from l o where o.doc_id = l.doc_id and o.pos < l.pos and l.pos < o.pos + o.n)")

@@ -37,7 +37,7 @@ class Resolution:
 
 #: Employees are compared exactly, as the name that was once written there meant no measure.
 RESOLUTIONS = {
-    "kompass_implisense": Resolution("subject", "subject_kompass", 0.7, {"name": (0.6, [("JaroWinkler", 1.0)]), "gen_employees": (0.2, [("ExactMatchString", 1.0)]), "geo_city": (0.2, [("Jaccard", 1.0)])}),
+    "kompass_strict": Resolution("subject", "subject_kompass", 0.7, {"name": (0.6, [("JaroWinkler", 1.0)]), "gen_employees": (0.2, [("ExactMatchString", 1.0)]), "geo_city": (0.2, [("Jaccard", 1.0)])}),
     "dbpedia": Resolution("subject", "subject_dbpedia", 0.3, {"id_dbpedia": (0, [("ExactMatchString", 0)]), "id_wikidata": (0, [("ExactMatchString", 0)]), "name": (0, NAMES)}),
     "kompass": Resolution("subject", "subject_kompass", 0.3, {"name": (0, NAMES), "gen_urls": (0, [("UrlCompare", 0)])}),
     "wikidata": Resolution("subject", "subject_wikidata", 0.9, {"name": (0.8, NAMES), "gen_urls": (0.2, [("UrlCompare", 0)])}),

@@ -15,7 +15,7 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalise as norm
@@ -274,9 +274,15 @@ def text_parser(store, dump):
 
 
 def _links(articles: DataFrame) -> DataFrame:
-    one = lambda kind, col, alias, page, pos: articles.select(F.col("title").alias("doc_id"), F.lit(kind).alias("kind"), F.explode(col).alias("x")).select("doc_id", "kind", alias, page, pos)
-    x = F.col("x")
-    return one("text", "links", x["alias"].alias("alias"), x["page"].alias("page"), x["offset"].alias("pos")).unionByName(one("template", "template_links", x["alias"].alias("alias"), x["page"].alias("page"), F.lit(None).cast("int").alias("pos"))).unionByName(one("category", "categories", x.alias("alias"), x.alias("page"), F.lit(None).cast("int").alias("pos")))
+    """(doc_id, kind, alias, page, pos) of articles' text, template and category links; a disambiguation page's text links are of that kind."""
+    x, nowhere = F.col("x"), F.lit(None).cast("int")
+
+    def one(kind: Column, column: str, alias: Column, page: Column, pos: Column) -> DataFrame:
+        rows = articles.select(F.col("title").alias("doc_id"), kind.alias("kind"), F.explode(column).alias("x"))
+        return rows.select("doc_id", "kind", alias.alias("alias"), page.alias("page"), pos.alias("pos"))
+
+    text = one(F.when(F.col("disambiguation"), "disambiguation").otherwise("text"), "links", x["alias"], x["page"], x["offset"])
+    return text.unionByName(one(F.lit("template"), "template_links", x["alias"], x["page"], nowhere)).unionByName(one(F.lit("category"), "categories", x, x, nowhere))
 
 
 @job("redirect_resolver", "articles", "links")

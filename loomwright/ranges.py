@@ -15,7 +15,7 @@ _INDEX = (1 << 33) - 1  # monotonically_increasing_id has the partition above an
 def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its rows take at most ``limit`` bytes, counted; else, or with nested columns, as it is, for a shuffled
     join."""
-    fixed, text = 16, []
+    fixed, text = 64, []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             text.append(f.name)

@@ -29,6 +29,11 @@ def triples(spark: SparkSession, path: str, prefixes: dict[str, str] | None = No
     return t.select(*[F.col("t")[i].alias(n) for i, n in enumerate(("subject", "property", "object"))])
 
 
+def collection(spark: SparkSession, path: str, parse, keep=lambda value: F.lit(True)) -> DataFrame:
+    """(value): what the function of a line's column makes of every line for which the other holds."""
+    return spark.read.text(path).where(keep(F.col("value"))).select(parse(F.col("value")).alias("value"))
+
+
 def key_values(spark: SparkSession, path: str, n: int = 2) -> DataFrame:
     """Tab-separated lines of exactly n fields, as ``fields``."""
     return spark.read.text(path).select(F.split("value", "\t").alias("fields")).where(F.size("fields") == n)

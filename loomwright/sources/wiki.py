@@ -33,6 +33,15 @@ def is_disambiguation(text: Column) -> Column:
     return F.trim(text).endswith("{{Begriffsklärung}}")
 
 
+def is_category_link(alias: Column, page: Column) -> Column:
+    return alias.startswith(CATEGORY) | page.startswith(CATEGORY)
+
+
+def clean_redirect(text: Column) -> Column:
+    """Without the redirect's keyword, hard blanks as blanks."""
+    return F.trim(F.regexp_replace(F.translate(text, "\u00a0", " "), r"^#?(REDIRECT|WEITERLEITUNG)\s*:?", ""))
+
+
 def braces(text: str) -> tuple[str, list[str]]:
     """The text without {...} (by depth; a backslash escapes), and what was in {{...}} at the top."""
     out, inside, depth, start, i = [], [], 0, 0, 0
@@ -63,7 +72,7 @@ def links_of(wikitext: str) -> list[tuple[str, str]]:
 
 
 def article(wikitext: str | None) -> dict:
-    """{text, links: [(alias, page, offset)], template_links, categories, redirect}."""
+    """{text, links: [(alias, page, offset)], template_links, categories, redirect, disambiguation}."""
     body, templates = braces(wikitext or "")
     text, links, categories, at, size = [], [], [], 0, 0
     for m in _LINK.finditer(body):
@@ -82,14 +91,14 @@ def article(wikitext: str | None) -> dict:
         size += len(alias)
     text.append(body[at:])
     redirect = re.match(r"#?(?:REDIRECT|WEITERLEITUNG)\s*\[\[([^\]|]+)", wikitext or "")
-    return {"text": "".join(text), "links": links, "template_links": [x for t in templates for x in links_of(t)], "categories": categories, "redirect": redirect[1] if redirect else None}
+    return {"text": "".join(text), "links": links, "template_links": [x for t in templates for x in links_of(t)], "categories": categories, "redirect": redirect[1] if redirect else None, "disambiguation": (wikitext or "").rstrip().endswith("{{Begriffsklärung}}")}
 
 
-_ARTICLE = "struct<text:string,links:array<struct<alias:string,page:string,offset:int>>,template_links:array<struct<alias:string,page:string>>,categories:array<string>,redirect:string>"
+_ARTICLE = "struct<text:string,links:array<struct<alias:string,page:string,offset:int>>,template_links:array<struct<alias:string,page:string>>,categories:array<string>,redirect:string,disambiguation:boolean>"
 
 
 def parse_articles(pages: DataFrame) -> DataFrame:
-    """(title, text, links, template_links, categories, redirect) of (title, text) rows that aren't meta pages."""
+    """(title, text, links, template_links, categories, redirect, disambiguation) of (title, text) rows that aren't meta pages."""
 
     def run(col: pa.Array) -> pa.Array:
         out = []
@@ -98,7 +107,7 @@ def parse_articles(pages: DataFrame) -> DataFrame:
             x["template_links"] = [{"alias": a, "page": p} for a, p in x["template_links"]]
             out.append(x)
         link = pa.struct([("alias", pa.string()), ("page", pa.string()), ("offset", pa.int32())])
-        return pa.array(out, pa.struct([("text", pa.string()), ("links", pa.list_(link)), ("template_links", pa.list_(pa.struct(list(link)[:2]))), ("categories", pa.list_(pa.string())), ("redirect", pa.string())]))
+        return pa.array(out, pa.struct([("text", pa.string()), ("links", pa.list_(link)), ("template_links", pa.list_(pa.struct(list(link)[:2]))), ("categories", pa.list_(pa.string())), ("redirect", pa.string()), ("disambiguation", pa.bool_())]))
 
     return pages.where(~is_meta(F.col("title"))).select("title", F.arrow_udf(run, _ARTICLE)("text").alias("a")).select("title", "a.*")
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from loomwright.functions import normalise as norm
 from loomwright.functions import similarity as sim
-from loomwright.operators import entities, fusion, linking, text
+from loomwright.operators import aliases, entities, fusion, knowledge, linking, relations, text
 from loomwright.plans import config, configs, jobs
-from loomwright.sources import dumps, pages
+from loomwright.sources import dumps, pages, wiki
+from loomwright.streaming.windows import windowed_counts
 
 SUBJECT = "id string, master string, datasource string, name string, aliases array<string>, category string, properties map<string,array<string>>, relations map<string,map<string,string>>"
 
@@ -158,9 +159,9 @@ def best(spark, name, a, b, pa=None, pb=None):
 def test_what_the_configurations_lead_to(spark):
     r = configs.RESOLUTIONS
     url, ids = {"gen_urls": ["http://www.a.de/"]}, {"id_wikidata": ["Q1"]}
-    name_alone, one_id, no_urls, no_url = best(spark, "kompass_implisense", "A B", "A B"), best(spark, "dbpedia", "Xyz", "Abc", ids, ids), best(spark, "kompass", "Audi", "Audi"), best(spark, "wikidata", "Audi", "Audi")
+    name_alone, one_id, no_urls, no_url = best(spark, "kompass_strict", "A B", "A B"), best(spark, "dbpedia", "Xyz", "Abc", ids, ids), best(spark, "kompass", "Audi", "Audi"), best(spark, "wikidata", "Audi", "Audi")
     assert [name_alone, one_id, no_urls, no_url] == pytest.approx([0.6, 0.3333, 0.5, 0.8])
-    assert name_alone < r["kompass_implisense"].confidence and one_id > r["dbpedia"].confidence and no_urls > r["kompass"].confidence and no_url < r["wikidata"].confidence
+    assert name_alone < r["kompass_strict"].confidence and one_id > r["dbpedia"].confidence and no_urls > r["kompass"].confidence and no_url < r["wikidata"].confidence
     assert best(spark, "wikidata", "Audi", "Audi", url, {"gen_urls": ["http://a.de"]}) == pytest.approx(1.0)
     assert best(spark, "evaluation", "Audi", "Audi", {"geo_country": ["DE"]}, {"geo_country": ["de", "FR"]}) == pytest.approx(1.0)
     assert best(spark, "fuzzy_nel", "Audi AG", "audi ag") == pytest.approx(1.0)
@@ -189,6 +190,28 @@ def test_pages():
     assert pages.linked_files('<a href="/x.ttl.bz2">x.ttl</a><a href="/en_uris.ttl">y.ttl</a><a href="/z">z</a>', "ttl", "en_uris") == ["/x.ttl.bz2"]
 
 
+def test_wiki_predicates_and_disambiguations(spark):
+    f = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
+    assert f(wiki.clean_redirect(F.lit("#WEITERLEITUNG\u00a0[[Ziel]]"))) == "[[Ziel]]" and f(wiki.is_category_link(F.lit("a"), F.lit("Kategorie:B")))
+    assert f(norm.unit_id(F.lit("5;Q11"))) and not f(norm.unit_id(F.lit("Q11")))
+    a = wiki.parse_articles(spark.createDataFrame([("M", "[[A]] oder [[B]] {{Begriffsklärung}}"), ("N", "[[A]]")], "title string, text string"))
+    assert {(r["doc_id"], r["kind"], r["page"]) for r in jobs._links(a).collect()} == {("M", "disambiguation", "A"), ("M", "disambiguation", "B"), ("N", "text", "A")}
+
+
+def test_mentions_that_are_not_links(spark):
+    found = spark.createDataFrame([(1, "a", 0), (1, "b", 3), (1, "--", 5), (1, "The", 7)], "doc_id int, alias string, pos int")
+    links = spark.createDataFrame([(1, 0), (2, 3)], "doc_id int, pos int")
+    assert [tuple(r) for r in aliases.unlinked(found, links, ("the",)).select("doc_id", "alias", "pos").collect()] == [(1, "b", 3)]
+
+
+def test_bags_of_pairs_and_collections(spark, tmp_path):
+    s = spark.createDataFrame([("x|y", ["a", "b", "a"]), ("x|y", ["b"]), ("y|z", [])], "pair string, bag array<string>")
+    assert {tuple(r) for r in relations.pair_bags(s).collect()} == {("x|y", "a", 2), ("x|y", "b", 2)}
+    (tmp_path / "stop.txt").write_text("der\n# note\nDie\n")
+    c = dumps.collection(spark, str(tmp_path / "stop.txt"), F.lower, lambda v: ~v.startswith("#"))
+    assert {r["value"] for r in c.collect()} == {"der", "die"}
+
+
 def test_sinks(spark, tmp_path):
     d = spark.createDataFrame([(["a", "b"],), ([],)], "t array<string>")
     pages.write_tokens(d, "t", str(tmp_path / "t"))
@@ -217,11 +240,26 @@ def test_sentences_keep_their_characters(spark):
     assert t.select(text.sentences(F.col("t")).alias("x")).first()["x"] == ["0 zero.", "1 one!", "2 two?", "three 3"]
 
 
+def test_unwanted_pages(spark):
+    rel = spark.createDataFrame([("A", "city", "Ulm"), ("A", "owner", "B")], "subject string, relation string, object string")
+    assert {r["page"] for r in knowledge.unwanted_pages(rel, spark.createDataFrame([("Konzern",)], "page string")).collect()} == {"Ulm", "Konzern"}
+
+
 def test_relation_names(spark):
     s = spark.createDataFrame([("1", {"2": {"owner": "", "owningCompany": "", "x": ""}, "3": {"master": ""}})], "id string, relations map<string,map<string,string>>")
     assert [r["value"] for r in dumps.relation_lines(s).collect()] == ["1,2,owned by"]
 
 
+def test_windows_of_a_stream_equal_those_of_a_batch(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("ts", "event_type", "value")
+    events.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = windowed_counts(stream, late="3650 days").writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).start()
+    q.awaitTermination()
+    rows = lambda df: sorted((r["event_type"], r["start"], r["n"], round(r["total"], 3)) for r in df.collect())
+    assert rows(spark.table("windows")) == rows(windowed_counts(events)) != []
+
+
 def test_unknown_sources_raise():
     with pytest.raises(ValueError):
         entities.normalise("nowhere", "x", F.lit(None))
