@@ -5,9 +5,10 @@ embedded objects, each at its place, with its caption (figcaption, else alt, tit
 SHA-256 digest of its absolute address, or of the bytes of its data: address; payloads (digest, payload)
 are joined by digest.  Pages without references aren't shuffled.
 
-Scripts, styles, comments and hidden templates give no text.  Null and empty pages have an empty sequence.  Repeated
-rows keep their own sequences.  Where several payloads have one digest, the least is taken.  References without
-an address are left out; unresolved ones have a null payload.
+Scripts, styles, comments and hidden templates give no text.  Pages are parsed once, whole, however long.  Null and empty pages have an empty
+sequence, null addresses leave references as they are.  Repeated rows keep their own sequences.  Where several payloads tie in their digest,
+the least is taken.  References without an address are left out; unresolved ones have a null payload.  Extra columns don't matter.  An empty
+table gives no sequences.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, durable, fresh, small
+from .common import bounded, durable, fresh
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<![^>]*>", re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -128,15 +129,15 @@ def sequences(pages: DataFrame, payloads: DataFrame) -> DataFrame:
     ``payloads`` has digest and payload (string or binary)."""
     kind = dict(payloads.dtypes)["payload"]
     row = fresh(pages, "row")
-    s = bounded(pages).select("page_id", "url", F.arrow_udf(_sequence, _SEQUENCE)("url", "html").alias("seq"))
+    s = durable(bounded(pages).select("page_id", "url", F.arrow_udf(_sequence, _SEQUENCE)("url", "html").alias("seq")))
     plain = s.where(~F.exists("seq", lambda x: x["digest"].isNotNull()))
     shape = lambda look: F.transform("seq", lambda x: F.struct(x["pos"].alias("pos"), x["kind"].alias("kind"), x["text"].alias("text"), x["url"].alias("url"), x["digest"].alias("digest"), x["caption"].alias("caption"), look(x).alias("payload")))
     plain = plain.select("page_id", "url", shape(lambda x: F.lit(None).cast(kind)).alias("sequence"))
-    rich = durable(s.where(F.exists("seq", lambda x: x["digest"].isNotNull())).withColumn(row, F.xxhash64("page_id", "url", F.to_json("seq"))))
+    rich = s.where(F.exists("seq", lambda x: x["digest"].isNotNull())).withColumn(row, F.md5(F.to_json(F.struct("page_id", "url", "seq"))))
     refs = rich.select(row, F.explode("seq").alias("x")).where("x.digest is not null").select(row, F.col("x.digest").alias("digest")).distinct()
     found = refs.join(payloads.where("payload is not null").groupBy("digest").agg(F.min("payload").alias("payload")), "digest")
     maps = found.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("digest", "payload"))).alias("found"))
-    rich = rich.join(small(maps), row, "left").select("page_id", "url", shape(lambda x: F.try_element_at(F.col("found"), F.coalesce(x["digest"], F.lit("")))).alias("sequence"))
+    rich = rich.join(maps, row, "left").select("page_id", "url", shape(lambda x: F.try_element_at(F.col("found"), F.coalesce(x["digest"], F.lit("")))).alias("sequence"))
     return plain.unionByName(rich)
 
 
