@@ -106,6 +106,25 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert kept == set(range(len(texts))) - {a for a, _ in got}
 
 
+@pytest.mark.parametrize("tile", [2, 5])
+def test_tiles_verify_all_pairs(spark, tile):
+    """Buckets larger than a tile: many different texts that share most of their words."""
+    rng = np.random.default_rng(21)
+    base = words(rng, 60).split()
+    texts = near_texts(rng)
+    for i in range(40):
+        copy = base[:]
+        for j in rng.integers(0, 60, i % 7):
+            copy[j] = words(rng, 1)
+        texts.append(" ".join(copy))
+    assert {tuple(r) for r in dedup.near_duplicates(docs(spark, texts), tile=tile).collect()} == brute_groups(texts)
+
+
+def test_of_rows_with_one_id_and_text_the_first_stays(spark):
+    d = spark.createDataFrame([(1, "a b c d", x, "s", 7) for x in ("fr", "de", "en")] + [(2, "a b c d", "aa", "s", 7)], DOCS)
+    assert [(r["doc_id"], r["lang"]) for r in dedup.drop_near_duplicates(d).collect()] == [(1, "de")]
+
+
 def test_keys_cover_every_error_pattern():
     keys = [set(k) for k in dedup.chunk_keys(12, 3, 5)]
     for n in range(6):
@@ -157,51 +176,82 @@ def test_packing_is_whole_and_fits(spark):
 
 
 def brute_rounds(lengths, capacity):
-    """The same rounds, document by document."""
-    left, gaps, bins = sorted(lengths, reverse=True), {}, 0
-    fill = []
+    """The bins' contents by the same rounds, piece by piece."""
+    left, bins = sorted(lengths, reverse=True), []
     while left:
-        stack, rest, done = [], [], []
-        events = sorted([(g, 0, b) for b, g in gaps.items()] + [(n, 1, i) for i, n in enumerate(left)], key=lambda e: (-e[0], e[1]))
-        for size, kind, x in events:
-            if not kind:
-                stack.append((size, x))
-            elif stack:
-                g, b = stack.pop()
-                done.append((b, g - size))
+        free = [b for b in bins if sum(b) < capacity]
+        used, rest = set(), []
+        for n in left:  # the smallest gap that holds it, of those not yet taken in this round
+            fit = [i for i, b in enumerate(free) if i not in used and capacity - sum(b) + 0 >= n]
+            if fit:
+                i = min(fit, key=lambda i: capacity - sum(free[i]))
+                used.add(i)
+                free[i].append(-n)  # fills only when the round is over
             else:
-                rest.append(size)
-        if done:
-            for b, g in done:
-                gaps[b] = g
-        else:
+                rest.append(n)
+        for b in free:
+            b[:] = [abs(n) for n in b]
+        if not used:
             need = -(-sum(rest) // capacity)
-            for n in rest[:need]:
-                gaps[bins] = capacity - n
-                bins += 1
+            bins += [[n] for n in rest[:need]]
             rest = rest[need:]
-        gaps = {b: g for b, g in gaps.items()}
-        fill.append(sorted(gaps.values()))
-        gaps_open = {b: g for b, g in gaps.items() if g}
-        gaps = gaps_open
         left = rest
-    return bins
+    return Counter(tuple(sorted(b)) for b in bins)
+
+
+def contents(rows):
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["bin"], []).append(r["n"])
+    return Counter(tuple(sorted(b)) for b in bins.values())
 
 
-def test_runs_equal_document_rounds():
+def test_runs_equal_rounds_piece_by_piece():
     rng = np.random.default_rng(9)
-    for _ in range(20):
-        lengths = rng.integers(1, 33, int(rng.integers(1, 200))).tolist()
-        runs = packing.plan_rounds(dict(Counter(lengths)), 32)
-        assert {n: sum(x[1] for x in v) for n, v in runs.items()} == dict(Counter(lengths))
-        used = {packing.bin_of(v, k)[0] for n, v in runs.items() for k in range(sum(x[1] for x in v))}
-        assert len(used) == brute_rounds(lengths, 32)
+    for _ in range(40):
+        lengths = rng.integers(1, 33, int(rng.integers(1, 120)))
+        bins, offsets = packing.places(lengths, 32)
+        got = {}
+        for b, o, n in zip(bins, offsets, lengths, strict=True):
+            got.setdefault(int(b), []).append((int(o), int(n)))
+        for parts in got.values():
+            assert [o for o, _ in sorted(parts)] == np.cumsum([0] + [n for _, n in sorted(parts)])[:-1].tolist()
+        assert Counter(tuple(sorted(n for _, n in x)) for x in got.values()) == brute_rounds(lengths.tolist(), 32)
+
+
+def test_lanes_get_even_shares_and_equal_brute_force(spark):
+    rng = np.random.default_rng(10)
+    d = docs(spark, [words(rng, int(n)) for n in rng.integers(0, 70, 300)]).repartition(7)
+    rows = packing.pack(d, 32, lane=700).collect()
+    pieces = sorted(((min(32, n - k), r["doc_id"], k) for r in d.collect() for n in [len(r["text"].split())] for k in range(0, n, 32)), key=lambda x: (-x[0], x[1], x[2]))
+    lanes = -(-sum(p[0] for p in pieces) // 700)
+    assert lanes > 5
+    for lane in range(lanes):
+        mine = [r for r in rows if r["bin"] >> 32 == lane]
+        assert sorted((-r["n"], r["doc_id"], r["first"]) for r in mine) == [(-n, i, k) for n, i, k in pieces[lane::lanes]]
+        assert contents(mine) == brute_rounds([p[0] for p in pieces[lane::lanes]], 32)
+
+
+def test_packing_in_order_keeps_windows(spark):
+    rng = np.random.default_rng(12)
+    d = docs(spark, [words(rng, int(n)) for n in rng.integers(1, 60, 400)], ["a" if i % 3 else "b" for i in range(400)])
+    order = mixing.schedule(d, block=50, whole=True)
+    rows = packing.pack_in_order(order, 32, window=500, block=50).collect()
+    slot = {r["doc_id"]: r["slot"] for r in order.collect()}
+    total = {r["doc_id"]: len(r["text"].split()) for r in d.collect()}
+    assert all(r["bin"] >> 32 == slot[r["doc_id"]] // 10 for r in rows) and len({r["bin"] >> 32 for r in rows}) > 10
+    assert {i: sum(r["n"] for r in rows if r["doc_id"] == i) for i in total} == total
+    for w in {r["bin"] >> 32 for r in rows}:
+        lengths = [min(32, total[i] - k) for i in total if slot[i] // 10 == w for k in range(0, total[i], 32)]
+        assert contents(r for r in rows if r["bin"] >> 32 == w) == brute_rounds(lengths, 32)
 
 
 def test_packing_odd_rows(spark, odd):
     rows = packing.pack(odd, 1000).collect()
     assert sum(r["n"] for r in rows) == 7 * 3 + 5 + 90_000 + 1
     assert packing.pack(odd.where("false")).count() == 0
+    assert packing.pack_in_order(mixing.schedule(odd.where("false"), whole=True)).count() == 0
+    assert sum(r["n"] for r in packing.pack_in_order(mixing.schedule(odd, whole=True)).collect()) == 7 * 3 + 5 + 90_000 + 1
 
 
 # ---------------------------------------------------------------- 3 sharding
@@ -226,6 +276,24 @@ def test_bytes_below_are_exact(spark):
     assert sharding._below(w, probes).tolist() == [sum(i % 7 for i, k in enumerate(keys) if k < p) for p in probes]
 
 
+@pytest.mark.parametrize("keys", ["even", "few", "ends", "steep"])
+def test_splitters_equal_a_sorted_scan(spark, keys):
+    rng = np.random.default_rng(4)
+    k = {"even": rng.integers(-(2**63), 2**63 - 1, 4000), "few": rng.choice(rng.integers(-(2**63), 2**63 - 1, 9), 4000), "ends": rng.choice(np.array([-(2**63), 2**63 - 1, 0]), 900), "steep": (rng.random(4000) ** 9 * 2**62).astype(np.int64)}[keys]
+    w = spark.createDataFrame([(int(x), int(b)) for x, b in zip(k, rng.integers(1, 50, len(k)), strict=True)], "key long, bytes long")
+    cuts, rounds = sharding.splitters(w, 5000, 0.05)
+    rows = [tuple(r) for r in w.collect()]
+    total = sum(b for _, b in rows)
+    shards = round(total / 5000)
+    assert rounds < 40 and cuts == sorted(set(cuts))
+    below = {x: sum(b for y, b in rows if y < x) for x in {y for y, _ in rows}}
+    for i in range(1, shards):  # a cut within the tolerance, or none is nearer
+        goal = total * i / shards
+        nearest = min([*below.values(), total], key=lambda v: abs(v - goal))
+        best = min([sum(b for y, b in rows if y < c) for c in cuts] + [0, total], key=lambda v: abs(v - goal))
+        assert abs(best - goal) <= max(0.05 * total / shards, abs(nearest - goal) + 1e-6)
+
+
 def test_sharding_odd_rows(spark, odd):
     out = sharding.shard(odd, target_bytes=100_000)
     assert rows_of(out.select(*odd.columns)) == rows_of(odd)
@@ -266,6 +334,63 @@ def test_isotonic_is_monotone_and_pools():
     assert (np.diff(xs) >= 0).all() and (np.diff(ys) >= 0).all() and ys[-1] == 1 and ys[0] == 0
 
 
+def test_without_labels_the_seed_lexicon_decides(spark, toxic_docs):
+    d = docs(spark, ["you stupid idiot", "a calm day at the sea", "1d10t go home", " ".join(["word"] * 99 + ["idiot"]), None])
+    assert {r["doc_id"] for r in toxicity.toxic(d, toxic_docs[1].where("toxic = 0")).collect()} == {0, 2}
+    assert {r["doc_id"] for r in toxicity.drop_toxic(d, toxic_docs[1].where("false")).collect()} == {1, 3, 4}
+
+
+def best_split(x, g, h, rows, least, l2):
+    """(gain, feature, cut) of the best split of some rows, over all features and all cuts between values."""
+    best = (1e-9, 0, np.inf)
+    score = lambda r: g[r].sum() ** 2 / (h[r].sum() + l2)
+    for j in range(x.shape[1]):
+        for c in np.unique(x[rows, j])[:-1]:
+            right = rows & (x[:, j] > c)
+            left = rows & ~right
+            if min(left.sum(), right.sum()) >= least and score(left) + score(right) - score(rows) > best[0] + 1e-12:
+                best = (score(left) + score(right) - score(rows), j, c)
+    return best
+
+
+def test_trees_equal_exhaustive_search():
+    """With a bin for every value, each node's split is the best of all, and leaves are Newton steps."""
+    rng = np.random.default_rng(15)
+    x = rng.integers(1, 9, (80, 3)).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 2] > 6) ^ (rng.random(80) < 0.1)).astype(int)
+    t = toxicity.Trees(rounds=3, depth=2, bins=200).fit(x, y)
+    f = np.full(80, np.log(y.mean() / (1 - y.mean())))
+    for tree, value in t.trees:
+        q = 1 / (1 + np.exp(-f))
+        g, h = y - q, q * (1 - q)
+        nodes = {0: np.ones(80, bool)}
+        for k in range(3):
+            gain = best_split(x, g, h, nodes[k], t.least, t.l2)
+            j, c = tree[k]
+            right = nodes[k] & (x[:, j] > c)
+            left = nodes[k] & ~right
+            if np.isfinite(c):
+                got = g[left].sum() ** 2 / (h[left].sum() + t.l2) + g[right].sum() ** 2 / (h[right].sum() + t.l2) - g[nodes[k]].sum() ** 2 / (h[nodes[k]].sum() + t.l2)
+                assert got == pytest.approx(gain[0])
+            else:
+                assert gain[0] == 1e-9
+            nodes[2 * k + 1], nodes[2 * k + 2] = left, right
+        for i, k in enumerate(range(3, 7)):
+            assert value[i] == pytest.approx(t.rate * g[nodes[k]].sum() / (h[nodes[k]].sum() + t.l2))
+            f[nodes[k]] += value[i]
+    assert t.decide(x) == pytest.approx(f)
+
+
+def test_isotonic_equals_the_max_min_formula():
+    rng = np.random.default_rng(16)
+    for _ in range(20):
+        s, y = rng.permutation(30).astype(float), rng.integers(0, 2, 30)
+        xs, ys = toxicity.isotonic(s, y)
+        v = y[np.argsort(s)]
+        want = [max(min(v[a : b + 1].mean() for b in range(i, 30)) for a in range(i + 1)) for i in range(30)]
+        assert np.interp(np.arange(30.0), xs, ys) == pytest.approx(want)
+
+
 def test_features_of_disguises_and_pronouns():
     lex = toxicity.Lexicon(hashing.hashes_of(["idiot"]), hashing.hashes_of([]), {}, hashing.hashes_of(["you"]))
     x = toxicity.features(pa.array(["you are an idiot", "1d10t", "GO AWAY!!", None]), lex)
@@ -276,6 +401,8 @@ def test_features_of_disguises_and_pronouns():
 def test_toxicity_odd_rows(spark, odd, toxic_docs):
     _, y = toxic_docs
     assert rows_of(toxicity.drop_toxic(odd, y.where("false"))) == rows_of(odd)
+    with pytest.raises(ValueError):
+        toxicity.drop_toxic(odd, y.where("false"), unlabelled="raise")
     d = toxic_docs[0].unionByName(odd, allowMissingColumns=True)
     out = toxicity.drop_toxic(d, y)
     assert out.columns == d.columns and out.where("text is null").count() == 2
@@ -299,6 +426,59 @@ def test_mixing_holds_the_weights(spark):
     assert took == {r["doc_id"] for r in mixing.mix_documents(d, {"a": 1.0, "b": 3.0}, block=200).collect()}
 
 
+def test_points_are_exact_and_never_overflow(spark):
+    slots = [0, 1, 2**16 - 1, 2**31, 2**32 - 1, 2**32, 2**40 + 12345, 2**62 + 7]
+    d = spark.createDataFrame([(t,) for t in slots], "slot long")
+    assert [r["u"] for r in d.select(mixing.point(F.col("slot")).alias("u")).collect()] == [t * mixing.GOLDEN % 2**32 for t in slots]
+
+
+def brute_schedule(rows, block, weights):
+    """{place: row} of (doc_id, source, tokens) rows by plain loops, the whole schedule."""
+    import hashlib
+
+    key = lambda r: (hashlib.md5(f"mix{r[0]}".encode()).hexdigest(), r[0], r[2])
+    names = sorted({r[1] for r in rows})
+    blocks, w = {}, {}
+    for x in names:
+        at, blocks[x] = 0, {}
+        for r in sorted((r for r in rows if r[1] == x), key=key):
+            blocks[x].setdefault(at // block, []).append(r)
+            at += r[2]
+        blocks[x]["n"] = -(-at // block)
+        w[x] = at**mixing.ALPHA if weights is None else weights[x]
+    edges, so_far = [], 0.0
+    for x in names:
+        so_far += w[x]
+        edges.append(round(so_far / sum(w.values()) * 2**32))
+    edges[-1] = 2**32
+    out, used, t = [], dict.fromkeys(names, 0), 0
+    while True:
+        u = t * mixing.GOLDEN % 2**32
+        x = next(n for n, e in zip(names, edges, strict=True) if u < e)
+        if used[x] == blocks[x]["n"]:
+            break
+        out.append((t, x, used[x]))
+        used[x] += 1
+        t += 1
+        if t == sum(b["n"] for b in blocks.values()):
+            break
+    due = sorted(((k - used[x] + 0.5) / w[x], x, k) for x in names for k in range(used[x], blocks[x]["n"]))
+    out += [(t + i, x, k) for i, (_, x, k) in enumerate(due)]
+    return [(t, r[0]) for t, x, k in out for r in blocks[x].get(k, [])]
+
+
+@pytest.mark.parametrize("weights", [None, {"a": 1.0, "b": 3.0, "c": 1.0}])
+def test_schedule_equals_plain_loops(spark, weights):
+    rng = np.random.default_rng(14)
+    texts = [words(rng, int(n)) for n in rng.integers(1, 40, 300)]
+    src = [["a", "a", "b", "c"][int(i)] for i in rng.integers(0, 4, 300)]
+    d = docs(spark, texts, src)
+    want = brute_schedule([(i, x, len(t.split())) for i, (t, x) in enumerate(zip(texts, src, strict=True))], 60, weights)
+    got = [(r["slot"], r["doc_id"]) for r in mixing.schedule(d, weights, block=60, whole=True).orderBy("slot", "begins").collect()]
+    assert got == want
+    assert [r["doc_id"] for r in mixing.mix_documents(d, weights, block=60, whole=True).collect()] == [i for _, i in want]
+
+
 def test_mixing_odd_rows(spark, odd):
     assert mixing.schedule(odd.where("false")).count() == 0
     out = mixing.mix_documents(odd, block=4)
@@ -380,6 +560,62 @@ def test_payloads_by_digest(spark):
     assert media.sequences(pages.where("false"), load).count() == 0
 
 
+def plain_sequence(html):
+    """(kind, text or address) by the standard library's parser, for simple pages."""
+    from html.parser import HTMLParser
+
+    out, text = [], []
+
+    class P(HTMLParser):
+        def flush(self):
+            if w := " ".join("".join(text).split()):
+                out.append(("text", w))
+            text.clear()
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "img":
+                self.flush()
+                out.append(("image", dict(attrs)["src"]))
+            elif tag in ("p", "div", "br"):
+                self.flush()
+
+        def handle_endtag(self, tag):
+            if tag in ("p", "div"):
+                self.flush()
+
+        def handle_data(self, data):
+            text.append(data)
+
+    p = P()
+    p.feed(html)
+    p.close()
+    p.flush()
+    return out
+
+
+def test_sequences_equal_a_plain_parser(spark):
+    rng = np.random.default_rng(17)
+    parts = ["<p>", "</p>", "<div>", "</div>", "<br>", "<b>", "</b>", "one &amp; two ", "x &lt; y", " \n ", '<img src="http://h/{}.png">', "<!-- no -->"]
+    rows = [(i, "http://h/", "".join(str(p).format(i) for p in rng.choice(parts, int(rng.integers(0, 40))))) for i in range(60)]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    load = spark.createDataFrame([(media.digest(f"http://h/{i}.png"), str(i)) for i in range(0, 60, 2)], "digest string, payload string")
+    got = {r["page_id"]: r["sequence"] for r in media.sequences(d, load).collect()}
+    for i, _, html in rows:
+        want = plain_sequence(html)
+        assert [(x["kind"], x["text"] or x["url"]) for x in got[i]] == want and [x["pos"] for x in got[i]] == list(range(len(want)))
+        assert [x["payload"] for x in got[i]] == [str(i) if k == "image" and i % 2 == 0 else None for k, _ in want]
+
+
+def test_media_odd_rows(spark):
+    rows = [(1, "http://h/", "<p>a</p><img src=x.png>", "k"), (1, "http://h/", "<p>a</p><img src=x.png>", "k"), (None, None, "<img src=/y.png>", None), (2, None, None, None), (3, "u", "<p>" + "long " * 200_000 + "</p><img src='data:,z'>", "k")]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string, row string").withColumns({c: F.lit(1) for c in ("seq", "digest", "payload", "found", "sequence")})
+    load = spark.createDataFrame([(media.digest("http://h/x.png"), b"B"), (media.digest("http://h/x.png"), b"A"), (None, b"C"), (media.digest("data:,z"), None)], "digest string, payload binary")
+    out = media.sequences(d, load).collect()
+    assert sorted((r["page_id"] or 0, len(r["sequence"])) for r in out) == [(0, 1), (1, 2), (1, 2), (2, 0), (3, 2)]
+    assert [bytes(r["sequence"][1]["payload"]) for r in out if r["page_id"] == 1] == [b"A", b"A"]
+    assert next(len(r["sequence"][0]["text"]) for r in out if r["page_id"] == 3) == 200_000 * 5 - 1
+
+
 # ---------------------------------------------------------------- 7 quality
 
 
@@ -427,10 +663,44 @@ def test_distrust_flows_backwards(spark):
     assert urlgraph.filter_pages(pages.where("false")).count() == 0
 
 
+def test_one_kind_of_seed_is_enough(spark):
+    pages = spark.createDataFrame([(1, "http://bad.com/", ""), (2, "http://farm.net/", '<a href="http://bad.com/">x</a>'), (3, "http://blog.fine.org/", "")], "page_id long, url string, html string")
+    bad = spark.createDataFrame([("bad.com",), ("bad.com",), (None,)], "host string")
+    assert {r["page_id"]: r["keep"] for r in urlgraph.filter_pages(pages, blocked=bad).collect()} == {1: False, 2: False, 3: True}
+    assert all(r["keep"] for r in urlgraph.filter_pages(pages, trusted=bad).collect())
+
+
 def test_edges_of_every_link_form(spark):
     html = '<A HREF="http://b.de/x">b</A><a href="//c.de:80/y">c</a><a Href = //d.de>d</a><a href="/own">o</a><a href="own//x">o</a>'
     pages = spark.createDataFrame([(1, "https://a.de/", html)], "page_id long, url string, html string")
-    assert sorted((r["src"], r["dst"], r["weight"]) for r in urlgraph.host_edges(pages).collect()) == [("a.de", "b.de", 1), ("a.de", "c.de", 1), ("a.de", "d.de", 1)]
+    assert sorted((r["src"], r["dst"], r["weight"]) for r in urlgraph.host_edges(urlgraph.page_hosts(pages)).collect()) == [("a.de", "b.de", 1), ("a.de", "c.de", 1), ("a.de", "d.de", 1)]
+
+
+def test_propagation_equals_sql_on_a_planted_graph(spark, tmp_path):
+    """Hosts of which some match the patterns, linked at random, so that every round moves scores."""
+    rng = np.random.default_rng(18)
+    hosts = [f"{p}h{i}.example.{t}" for i in range(12) for p, t in (("", "com"), ("blog.", "net"), ("", "org"))] + ["example.org"]
+    rows = [(i, f"http://{h}/", "".join(f"<a HREF='{'//' if k % 2 else 'http://'}{x}/{k}'>l</a>" for k, x in enumerate(rng.choice(hosts, int(rng.integers(0, 6)))))) for i, h in enumerate(np.repeat(hosts, 2).tolist())]
+    rows += [(1000, None, "x"), (1001, "http://lonely.de", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    pages = spark.read.parquet(str(tmp_path / "pages.parquet"))
+    c = duckdb.connect()
+    c.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    cols = ["page_id", "host", "trust", "distrust", "keep"]
+    want = {r[0]: r[1:] for r in c.execute(f"select {', '.join(cols)} from ({urlgraph.sql()})").fetchall()}
+    got = {r["page_id"]: tuple(r[x] for x in cols[1:]) for r in urlgraph.filter_pages(pages).collect()}
+    assert got.keys() == want.keys()
+    for k, v in got.items():
+        assert v[0] == want[k][0] and v[3] == want[k][3] and v[1:3] == pytest.approx(want[k][1:3], abs=1e-7)
+    assert sum(0 < (v[2] or 0) < 1 for v in got.values()) > 20 and len({v[3] for v in got.values()}) == 2
+
+
+def test_url_filter_odd_rows(spark):
+    long = '<a href="http://b.de/">x</a>' * 20_000
+    rows = [(1, "http://a.de", long, "k"), (1, "http://a.de", long, "k"), (None, "http://b.de", None, None), (2, None, "", "k")]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string, host string").withColumns({c: F.lit(1) for c in ("links", "src", "dst", "keep", "trust")})
+    bad = spark.createDataFrame([("b.de",)], "host string")
+    assert sorted(((r["page_id"] or 0), r["keep"]) for r in urlgraph.filter_pages(d, blocked=bad).collect()) == [(0, False), (1, False), (1, False), (2, True)]
 
 
 # ---------------------------------------------------------------- 9 licenses
@@ -457,8 +727,49 @@ def test_license_votes_equal_brute_force(spark):
     assert found == want
 
 
+def brute_spans(text, tpl, k, gap, cover):
+    t, w = tpl.split(), text.split()
+    votes = {}
+    for d in range(len(w) - k + 1):
+        for p in range(len(t) - k + 1):
+            if w[d : d + k] == t[p : p + k]:
+                votes.setdefault(d - p, []).append((d, p))
+    out, run, last = [], [], None
+    for g in [*sorted(votes), None]:
+        if run and (g is None or g - last > gap):
+            share = round(len({p + j for _, p in run for j in range(k)}) / len(t), 6)
+            if share >= cover:
+                out.append((min(d for d, _ in run), max(d for d, _ in run) + k - 1, share))
+            run = []
+        if g is not None:
+            run, last = run + votes[g], g
+    return out
+
+
+@pytest.mark.parametrize(("gap", "cover"), [(0, 0.5), (2, 0.75), (4, 0.6)])
+def test_license_spans_equal_brute_force(spark, gap, cover):
+    rng = np.random.default_rng(19)
+    tpl = "a b c d e f g h i j"
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(int(rng.integers(1, 4))):
+            copy = tpl.split()
+            for _ in range(int(rng.integers(0, 3))):
+                j = int(rng.integers(0, len(copy)))
+                copy[j : j + int(rng.integers(0, 2))] = list(rng.choice(list("abxyz"), int(rng.integers(0, 3))))
+            parts += [*rng.choice(list("xyzab"), int(rng.integers(0, 9))), *copy]
+        texts.append(" ".join(parts))
+    got = {}
+    for r in licenses.scan(docs(spark, texts), {"t": tpl}, gap=gap, cover=cover).collect():
+        got.setdefault(r["doc_id"], []).append((r["first_word"], r["last_word"], r["coverage"]))
+    assert {i: sorted(v) for i, v in got.items()} == {i: sorted(b) for i, t in enumerate(texts) if (b := brute_spans(t, tpl, 3, gap, cover))}
+
+
 def test_license_odd_rows(spark, odd):
-    assert licenses.scan(odd, {"t": "alpha beta gamma"}).where("doc_id = 5").count() >= 1
+    rows = licenses.scan(odd, {"t": "alpha beta gamma"}).collect()
+    assert [(r["doc_id"], r["first_word"], r["last_word"]) for r in rows] == [(5, 0, 89_999)]
+    assert sorted((r["doc_id"], r["first_word"]) for r in licenses.scan(odd, {"t": "b c d"}).collect()) == [(1, 1), (2, 1)]
 
 
 # ---------------------------------------------------------------- 10 personal data
@@ -503,6 +814,65 @@ def test_findings_equal_a_plain_search():
         assert [text[a:b] for _, a, b in pii.find(text)] == want
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("1.2.3.4", ["IP:1.2.3.4"]), ("8.8.8.8, 1.2.3.4.5", ["IP:8.8.8.8"]), ("12.34.56.78@mail.example.com", ["EMAIL:12.34.56.78@mail.example.com"]), ("123-45-6789@a.de", ["EMAIL:123-45-6789@a.de"]), ("BE68 5390 0754 7034 BANK", ["IBAN:BE68 5390 0754 7034"]), ("GB82WEST12345698765432 7", ["IBAN:GB82WEST12345698765432"]),
+        ("+1 4337166598464399", ["CARD:4337166598464399"]), ("+49 170 1234567 1234567", ["PHONE:+49 170 1234567"]), ("+1 988 555 2485 12ab", ["PHONE:+1 988 555 2485"]), ("x" * 100 + "@y.de", ["EMAIL:" + "x" * 100 + "@y.de"]), ("müller@bücher.de", ["EMAIL:müller@bücher.de"]), ("a@xn--bcher-kva.xn--p1ai", ["EMAIL:a@xn--bcher-kva.xn--p1ai"]),
+        ("from 2001:db8::1.", ["IP:2001:db8::1"]), ("2001:0db8:85a3:0000:0000:8a2e:0370:7334", ["IP:2001:0db8:85a3:0000:0000:8a2e:0370:7334"]), ("12:30:45 std::vector a::b", []), ("password: hunter", ["SECRET:hunter"]), ("password: required", []), ("pwd=p@ss!w0rd.", ["SECRET:p@ss!w0rd"]),
+    ],
+)
+def test_what_used_to_leak(text, want):
+    assert [f"{k}:{text[a:b]}" for k, a, b in pii.find(text)] == want
+
+
+def brute_findings(text):
+    """Every substring that a whole-match rule accepts, tried at all positions and lengths; overlapping ones as one stretch."""
+    word = lambda c: c.isalnum()
+    hit, cards = [], []
+    for a in range(len(text)):
+        for b in range(len(text), a, -1):
+            x, left, right = text[a:b], text[a - 1 : a], text[b : b + 1]
+            if word(left or " ") or word(right or " "):
+                continue
+            digits = re.sub(r"\D", "", x)
+            if re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", x) and all(int(o) < 256 for o in x.split(".")) and not re.search(r"\d\.$", text[:a]) and not re.match(r"\.\d", text[b:]):
+                hit.append((a, b))
+            elif re.fullmatch(r"\d([ -]?\d){12,18}", x) and len(set(digits)) > 1 and sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 * (int(c) > 4)) for i, c in enumerate(reversed(digits))) % 10 == 0:
+                cards.append((a, b))
+            elif re.fullmatch(r"\d{3}-\d{2}-\d{4}", x) and not re.search(r"\d-$", text[:a]) and not re.match(r"-\d", text[b:]):
+                hit.append((a, b))
+            elif re.fullmatch(r"\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}[-.]\d{3}[-.]\d{4}", x):
+                hit.append((a, b))
+            elif re.fullmatch(r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?([ .-]?\d{2,4}){2,4}", x) and 7 <= len(digits) <= 15:
+                hit.append((a, b))
+    good = [(a, b) for a, b in cards if re.fullmatch(r"\d+|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{4,5}|\d{4}-\d{6}-\d{4,5}", text[a:b])]
+    hit += good + [(a, b) for a, b in cards if all(b <= x or y <= a for x, y in good)]
+    for at in (i for i, c in enumerate(text) if c == "@"):
+        lo = at
+        while lo and (text[lo - 1].isalnum() or text[lo - 1] in "._%+-") and text[lo - 1 : lo + 1] != "..":
+            lo -= 1
+        lo += len(text[lo:at]) - len(text[lo:at].lstrip("._%+-"))
+        ends = [b for b in range(at + 2, len(text) + 1) if re.fullmatch(r"([a-z0-9](([a-z0-9-])*[a-z0-9])?\.)+[a-z]{2,63}", text[at + 1 : b])]
+        if lo < at and text[at - 1] != "." and ends:
+            hit.append((lo, max(ends)))
+    out = []
+    for a, b in sorted(hit):
+        if out and a < out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            out.append([a, b])
+    return out
+
+
+def test_findings_equal_all_substrings():
+    rng = np.random.default_rng(20)
+    items = ["4337166598464399", "4337 1665 9846 4399", "1.2.3.4", "10.0.0.255", "123-45-6789", "(030) 123-4567", "555-123-4567", "+1 (988) 555-2485", "+49 170 1234567", "ab@c.de", "@", "..", "12", "7", "-", ".", " ", " ", "x", "+", "(", ")", ":", "@mail.example.com", "300"]
+    for _ in range(1500):
+        text = "".join(rng.choice(items, int(rng.integers(1, 6))))
+        assert [[a, b] for _, a, b in pii.find(text)] == brute_findings(text), text
+
+
 def test_long_digit_runs_take_linear_time():
     assert pii.find("12 " * 200_000) == []
     assert len(pii.find("1.2.3.4 x " * 20_000)) == 20_000
@@ -511,6 +881,8 @@ def test_long_digit_runs_take_linear_time():
 def test_pii_odd_rows(spark, odd):
     assert rows_of(pii.redact_documents(odd)) == rows_of(odd)
     assert pii.personal_data(odd).count() == 0 and pii.personal_data(odd.where("false")).count() == 0
+    with_ids = spark.createDataFrame([(None, "a@b.de", "a@b.de", None, None)] * 2 + [(1, "x " * 300_000 + "a@b.de", "en", "s", 1)], DOCS).withColumn("found", F.lit("x"))
+    assert sorted((r["text"][-7:], r["lang"], r["found"]) for r in pii.redact_documents(with_ids).collect()) == [("[EMAIL]", "a@b.de", "x"), ("[EMAIL]", "a@b.de", "x"), ("[EMAIL]", "en", "x")]
     d = docs(spark, ["mail a@b.de", "none"])
     assert [(r["text"], r["n_chars"]) for r in pii.redact_documents(d).orderBy("doc_id").collect()] == [("mail [EMAIL]", 12), ("none", 4)]
 
@@ -529,3 +901,43 @@ def test_pipeline_stages(spark, tmp_path):
         out.write.parquet(str(tmp_path / name))
         d = spark.read.parquet(str(tmp_path / name))
     assert rows_of(corpus_pipeline.run(spark, DATA).select("doc_id", "first", "n")) == rows_of(d.select("doc_id", "first", "n"))
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Each stage's decision by loops over the documents; only the classifier's fit and the features are the operator's own."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(23)
+    base = near_texts(rng)
+    texts = [t + (" you idiot moron" if i % 3 == 1 else "") + (f" mail a{i}@b.de" if i % 5 == 0 else "") for i, t in enumerate(base)] + ["", None, "one"]
+    src = [["a", "b", "b", None][int(i)] for i in rng.integers(0, 3, len(texts))]
+    d = docs(spark, texts, src)
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    y = spark.createDataFrame([(i, int(i % 3 == 1)) for i in range(len(base))], "doc_id long, toxic int")
+    y.write.parquet(str(tmp_path / "labels.parquet"))
+    model = toxicity.train(d, y)
+    p = model.probability(pa.array(texts))
+    kept = [i for i in range(len(texts)) if p[i] < 0.5]
+    assert 0 < len(texts) - len(kept) < len(texts) // 2
+    copies = {kept[a] for a, _ in brute_groups([texts[i] for i in kept])}
+    kept = [i for i in kept if i not in copies]
+    final = {i: pii.redact(texts[i], pii.find(texts[i])) if texts[i] else texts[i] for i in kept}
+    order = brute_schedule([(i, src[i], len(final[i].split())) for i in kept if final[i]], mixing.BLOCK, None)
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["n"]) for r in rows) == sorted((i, len(final[i].split())) for _, i in order)
+    assert {r["bin"] >> 32 for r in rows} == {t // (packing.LANE // mixing.BLOCK) for t, _ in order}
+    assert contents(rows) == brute_rounds([r["n"] for r in rows], packing.CAPACITY)
+    mixed = corpus_pipeline.mix_sources(spark, docs(spark, [final[i] for i in kept], [src[i] for i in kept]), str(tmp_path))
+    assert mixed.count() == len(order)
+
+
+def test_pipeline_stages_take_odd_and_empty_rows(spark, odd, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.where("false"), str(tmp_path)).count() == 0, name
+        out = stage(spark, odd, str(tmp_path))
+        assert out.count() > 0, name
+        if name != "packing":
+            assert out.columns == odd.columns
