@@ -24,4 +24,4 @@ def bounded(df: DataFrame) -> DataFrame:
 
 def content_key(*columns: str) -> Column:
     """16 bytes that differ where the columns do; nulls aren't empty texts."""
-    return F.unhex(F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns])))
+    return F.unhex(F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns])))

@@ -138,13 +138,15 @@ def signed(docs: DataFrame, positions: int = POSITIONS, shingle: int = SHINGLE)
 
 
 def _tiled(keyed: DataFrame, tile: int) -> DataFrame:
-    """(key, i, j, side, node): every bucket in parts.  A bucket of at most ``tile`` nodes is one part; a larger one is dealt to tiles by the
-    node's hash, and each pair of tiles is a part, with a side for either, so that parts are of bounded size and all pairs are in one."""
-    large = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select(F.col("key").alias("large"), F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
-    t = keyed.join(small(large), F.col("key") == F.col("large"), "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    t = t.withColumn("own", F.pmod(F.xxhash64("node", F.lit("tile")), F.col("tiles")).cast("int"))
-    t = t.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return t.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node")
+    """(key, pair, member): every bucket in parts; a member is node * 2 + side.  A bucket of at most ``tile`` nodes is one part, pair -1; a larger one is
+    dealt to tiles by the node's hash, and each pair of tiles is a part, with a side for either, so that parts are of bounded size and all pairs
+    are in one."""
+    large = durable(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select(F.col("key").alias("large"), F.ceil(F.col("n") / tile).alias("tiles")))
+    t = keyed.join(small(large), F.col("key") == F.col("large"), "left").withColumn("own", F.pmod(F.xxhash64("node", F.lit("tile")), "tiles"))
+    part = lambda pair, side: F.struct(pair.cast("long").alias("pair"), (F.col("node") * 2 + side.cast("long")).alias("member"))
+    own = F.col("own")
+    many = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda o: part(F.least(own, o) * F.col("tiles") + F.greatest(own, o), own > o))
+    return t.select("key", F.explode(F.when(F.col("tiles").isNull(), F.array(part(F.lit(-1), F.lit(0)))).otherwise(many)).alias("p")).select("key", "p.pair", "p.member")
 
 
 def near_edges(nodes: DataFrame, positions: int, chunks: int, threshold: int, tile: int = TILE) -> DataFrame:
@@ -153,9 +155,8 @@ def near_edges(nodes: DataFrame, positions: int, chunks: int, threshold: int, ti
     same = nodes.select("node", "sig").join(reps.withColumnRenamed("node", "rep"), "sig").where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     keys = F.array(*[F.xxhash64(F.lit(i), *[F.substring("sig", 2 * p + 1, 2) for p in keep]) for i, keep in enumerate(chunk_keys(positions, chunks, threshold))])
     parts = _tiled(reps.select("node", F.explode(keys).alias("key")), tile)
-    of = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("node")))).alias(f"side{side}")
-    bucket = parts.groupBy("key", "i", "j").agg(of(0), of(1)).where(F.size("side0") + F.size("side1") > 1).select("side0", "side1").distinct()
-    bucket = bucket.select(F.xxhash64("side0", "side1").alias("bucket"), F.size("side0").alias("first"), F.posexplode(F.concat("side0", "side1")).alias("at", "node")).select("bucket", (F.col("at") >= F.col("first")).cast("int").alias("side"), "node")
+    bucket = parts.groupBy("key", "pair").agg(F.array_sort(F.collect_list("member")).alias("members")).where(F.size("members") > 1).select("members").distinct()
+    bucket = bucket.select(F.xxhash64("members").alias("bucket"), F.explode("members").alias("m")).select("bucket", F.shiftright("m", 1).alias("node"), F.col("m").bitwiseAND(F.lit(1)).cast("int").alias("side"))
     members = bucket.join(reps, "node").groupBy("bucket").agg(F.collect_list(F.struct("node", "sig", "side")).alias("members")).select("members")
     return same.union(members.mapInArrow(_verify(threshold), "a long, b long"))
 
