@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, durable, fresh
+from .common import bounded, durable
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript)\b.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<![^>]*>", re.S | re.I)
 _ATTR = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -117,28 +117,35 @@ def parse(url: str | None, html: str | None) -> list[dict]:
     return steps
 
 
-_SEQUENCE = "array<struct<pos:int,kind:string,text:string,url:string,digest:string,caption:string>>"
+_PARSED = "struct<texts:array<string>,seq:array<struct<pos:int,kind:string,text:string,url:string,digest:string,caption:string>>>"
 
 
 def _sequence(urls: pa.Array, htmls: pa.Array) -> pa.Array:
-    return pa.array([parse(u, h) for u, h in zip(urls.to_pylist(), htmls.to_pylist(), strict=True)], pa.list_(_STEP))
+    """Texts alone of pages without references, which take a third of the room; else the steps."""
+    texts, seqs = [], []
+    for u, h in zip(urls.to_pylist(), htmls.to_pylist(), strict=True):
+        steps = parse(u, h)
+        plain = all(x["digest"] is None for x in steps)
+        texts.append([x["text"] for x in steps] if plain else None)
+        seqs.append(None if plain else steps)
+    return pa.StructArray.from_arrays([pa.array(texts, pa.list_(pa.string())), pa.array(seqs, pa.list_(_STEP))], ["texts", "seq"])
 
 
 def sequences(pages: DataFrame, payloads: DataFrame) -> DataFrame:
     """(page_id, url, sequence): sequence is array<struct<pos, kind, text, url, digest, caption, payload>>.
     ``payloads`` has digest and payload (string or binary)."""
     kind = dict(payloads.dtypes)["payload"]
-    row = fresh(pages, "row")
-    s = durable(bounded(pages).select("page_id", "url", F.arrow_udf(_sequence, _SEQUENCE)("url", "html").alias("seq")))
-    plain = s.where(~F.exists("seq", lambda x: x["digest"].isNotNull()))
-    shape = lambda look: F.transform("seq", lambda x: F.struct(x["pos"].alias("pos"), x["kind"].alias("kind"), x["text"].alias("text"), x["url"].alias("url"), x["digest"].alias("digest"), x["caption"].alias("caption"), look(x).alias("payload")))
-    plain = plain.select("page_id", "url", shape(lambda x: F.lit(None).cast(kind)).alias("sequence"))
-    rich = s.where(F.exists("seq", lambda x: x["digest"].isNotNull())).withColumn(row, F.md5(F.to_json(F.struct("page_id", "url", "seq"))))
-    refs = rich.select(row, F.explode("seq").alias("x")).where("x.digest is not null").select(row, F.col("x.digest").alias("digest")).distinct()
+    s = durable(bounded(pages).select("page_id", "url", F.arrow_udf(_sequence, _PARSED)("url", "html").alias("parsed"))).select("page_id", "url", "parsed.*")
+    none = lambda name, t="string": F.lit(None).cast(t).alias(name)
+    step = lambda t, i: F.struct(i.cast("int").alias("pos"), F.lit("text").alias("kind"), t.alias("text"), none("url"), none("digest"), none("caption"), none("payload", kind))
+    plain = s.where("texts is not null").select("page_id", "url", F.transform("texts", step).alias("sequence"))
+    rich = s.where("texts is null").withColumn("row", F.md5(F.to_json(F.struct("page_id", "url", "seq")))).drop("texts")
+    refs = rich.select("row", F.explode("seq").alias("x")).where("x.digest is not null").select("row", F.col("x.digest").alias("digest")).distinct()
     found = refs.join(payloads.where("payload is not null").groupBy("digest").agg(F.min("payload").alias("payload")), "digest")
-    maps = found.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct("digest", "payload"))).alias("found"))
-    rich = rich.join(maps, row, "left").select("page_id", "url", shape(lambda x: F.try_element_at(F.col("found"), F.coalesce(x["digest"], F.lit("")))).alias("sequence"))
-    return plain.unionByName(rich)
+    maps = found.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("digest", "payload"))).alias("found"))
+    look = lambda x: F.try_element_at(F.col("found"), F.coalesce(x["digest"], F.lit("")))
+    full = lambda x: F.struct(*[x[c].alias(c) for c in ("pos", "kind", "text", "url", "digest", "caption")], look(x).alias("payload"))
+    return plain.unionByName(rich.join(maps, "row", "left").select("page_id", "url", F.transform("seq", full).alias("sequence")))
 
 
 def page_payloads(pages: DataFrame) -> DataFrame:
