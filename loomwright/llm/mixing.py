@@ -97,19 +97,24 @@ def mix_documents(docs: DataFrame, weights: dict[str, float] | None = None, bloc
     but not in other columns, the schedule takes the first in the order of these columns' JSON."""
     node = fresh(docs, "node")
     d = bounded(docs).select("doc_id", "source", n_tokens("text").alias("n_tokens"), _hash(), content_key("doc_id", "source", "text").alias("node"))
-    taken = _schedule(durable(d.where("n_tokens > 0")), weights, block, alpha, whole)
-    return _in_order(docs, taken, node)
+    d = durable(d.where("n_tokens > 0"))
+    return _in_order(docs, d, _schedule(d, weights, block, alpha, whole), node)
 
 
-def _in_order(docs: DataFrame, taken: DataFrame, node: str) -> DataFrame:
-    """The taken rows of ``docs`` by slot and begin; only the texts of repeated rows are shuffled to number the copies."""
-    slot, begins, rank, other = (fresh(docs, x) for x in ("slot", "begins", "rank", "other"))
+def _in_order(docs: DataFrame, d: DataFrame, taken: DataFrame, node: str) -> DataFrame:
+    """The taken rows of ``docs`` by slot and begin, each partition a range of slots; the texts of repeated rows alone are shuffled once more, to number
+    the copies."""
+    spark = docs.sparkSession
+    slot, begins, rank, other, part = (fresh(docs, x) for x in ("slot", "begins", "rank", "other", "part"))
     places = durable(taken.select(F.col("node").alias(node), F.col("slot").alias(slot), F.col("begins").alias(begins)))
     marked = docs.withColumn(node, content_key("doc_id", "source", "text"))
-    repeated = durable(docs.select(content_key("doc_id", "source", "text").alias(node)).groupBy(node).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(node))
+    repeated = durable(d.groupBy(F.col("node").alias(node)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(node))
     once = marked.join(small(places.join(small(repeated), node, "left_anti")), node)
     more = running(places.join(small(repeated), node, "left_semi"), [node], [slot, begins], F.lit(1), rank)
     rest = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
     again = marked.join(small(repeated), node, "left_semi").withColumn(other, F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])) if rest else F.lit(""))
     again = running(durable(again), [node], [other], F.lit(1), rank).drop(other).join(more, [node, rank]).drop(rank)
-    return once.unionByName(again).orderBy(slot, begins, node).select(*docs.columns)
+    # slots are of equal tokens, so equal ranges of them need no sample
+    n, last = int(spark.conf.get("spark.sql.shuffle.partitions")), places.agg(F.max(slot).alias("last")).first()["last"] or 0
+    out = once.unionByName(again).withColumn(part, F.least(F.lit(n - 1), F.floor(F.col(slot) * n / (last + 1))).cast("int"))
+    return out.repartitionById(n, F.col(part)).sortWithinPartitions(slot, begins, node).select(*docs.columns)
