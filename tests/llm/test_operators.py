@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on edge cases, and on the tables."""
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from itertools import combinations
 
@@ -232,6 +233,55 @@ def test_lanes_get_even_shares_and_equal_brute_force(spark):
         assert contents(mine) == brute_rounds([p[0] for p in pieces[lane::lanes]], 32)
 
 
+def brute_bins(lengths, capacity):
+    """[(bin, offset)] of the pieces, which come longest first, by the same rounds over all of them, piece by piece."""
+    left, gaps, at, bins = list(enumerate(lengths)), [], {}, 0
+    while left:
+        free, now, rest = sorted(gaps), [], []
+        for i, n in left:
+            j = bisect_left(free, (n, -1))
+            if j < len(free):
+                gap, b = free.pop(j)
+                at[i] = (b, capacity - gap)
+                now.append((gap - n, b))
+            else:
+                rest.append((i, n))
+        if not now:
+            need = -(-sum(n for _, n in rest) // capacity)
+            for i, n in rest[:need]:
+                at[i] = (bins, 0)
+                now.append((capacity - n, bins))
+                bins += 1
+            rest = rest[need:]
+        gaps, left = [g for g in free + now if g[0]], rest
+    return [at[i] for i in range(len(lengths))]
+
+
+def in_bins(d, capacity):
+    """(bin, offset, doc_id, first, n) of (doc_id, tokens) rows by plain loops."""
+    pieces = sorted(((min(capacity, n - k), i, k) for i, n in d for k in range(0, n, capacity)), key=lambda x: (-x[0], x[1], x[2]))
+    return sorted((*place, i, k, n) for place, (n, i, k) in zip(brute_bins([p[0] for p in pieces], capacity), pieces, strict=True))
+
+
+@pytest.mark.parametrize(("capacity", "parts"), [(32, 1), (32, 3), (32, 4), (3, 4), (1, 4)])
+def test_sweeps_across_partitions_equal_piece_by_piece(spark, capacity, parts):
+    rng = np.random.default_rng(15)
+    n = [int(x) for x in rng.integers(0, 70, 150)] + [1] * 60 + [2] * 30
+    d = docs(spark, ["w " * x for x in n]).repartition(5)
+    assert sorted(map(tuple, packing.pack(d, capacity, parts=parts).collect())) == in_bins(list(enumerate(n)), capacity)
+
+
+def test_packing_query_sweeps_over_all_pieces(spark, tmp_path):
+    """More tokens than a lane has: a piece takes the smallest gap of all bins."""
+    rng = np.random.default_rng(16)
+    n = [int(x) for x in rng.integers(1, 5000, 2500)]
+    assert sum(n) > packing.LANE
+    d = spark.createDataFrame(list(enumerate(n)), "doc_id long, n int").select("doc_id", F.expr("repeat('w ', n)").alias("text"))
+    d.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, queries.op2_best_fit_packing(spark, str(tmp_path)).collect()))
+    assert got == in_bins(list(enumerate(n)), packing.CAPACITY)
+
+
 def test_packing_in_order_keeps_windows(spark):
     rng = np.random.default_rng(12)
     d = docs(spark, [words(rng, int(n)) for n in rng.integers(1, 60, 400)], ["a" if i % 3 else "b" for i in range(400)])
