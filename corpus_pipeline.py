@@ -29,14 +29,14 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with tokens, in the order of the schedule."""
+    """All rows with tokens, in the order of the schedule, by which the next stage packs."""
     return mixing.mix_documents(docs, whole=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(bin, offset, doc_id, first, n): documents packed within windows of the schedule, whose slots follow from the rows, so that the bins
-    keep the mix."""
-    return packing.pack_in_order(mixing.schedule(docs, whole=True))
+    """(bin, offset, doc_id, first, n): documents packed within windows of the rows as the mix has ordered them, so that the bins keep it.  The
+    order is that in which the rows are stored, in files or in partitions; nothing is scheduled again."""
+    return packing.pack_rows(docs)
 
 
 STAGES = [

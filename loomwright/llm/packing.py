@@ -12,7 +12,7 @@ second).  The partitions are the tasks of a barrier stage, so as many cores as t
 off.  They find each other by the stage's gather, which takes a second a call, and then talk over sockets of their own, with a key for each stage.  Pieces of one length differ only in rank, so what is swept and told is runs of ranks and of bins, never
 rows; the rows find their runs by rank in one join.
 
-With ``lane``, and in ``pack_in_order``, the pieces are dealt to lanes that are packed each for itself, by the same rounds in one task.
+With ``lane``, in ``pack_in_order`` and in ``pack_rows``, the pieces are dealt to lanes that are packed each for itself, by the same rounds in one task.
 
 Lengths are words between blanks, of whole texts.  Rows without words (null, empty) aren't packed.  Repeated rows and equal doc_ids are packed
 as often as they occur.  Pieces that tie in length are in the order of doc_id (nulls first), then of their first token.  Empty tables give
@@ -33,8 +33,8 @@ from pyspark import BarrierTaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, durable, fresh, numbers, ranked
-from .mixing import n_tokens
+from .common import bounded, durable, fresh, numbers, ranked, running, stored
+from .mixing import BLOCK, n_tokens
 
 CAPACITY, LANE, PARTS = 4096, 1 << 22, 4
 
@@ -201,10 +201,18 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, lane: int | None = None, par
     return p.join(at, "place").select("bin", "offset", "doc_id", "first", "n")
 
 
-def pack_in_order(order: DataFrame, capacity: int = CAPACITY, window: int = LANE, block: int = 16384) -> DataFrame:
+def pack_in_order(order: DataFrame, capacity: int = CAPACITY, window: int = LANE, block: int = BLOCK) -> DataFrame:
     """As ``pack``, for (doc_id, n_tokens, slot, begins): a lane is a window of the schedule, of as many slots as have ``window`` tokens
     at ``block`` tokens each, so that bins keep the mix: bin numbers go up with the schedule and a bin's pieces come from one window.  Of
     pieces of one length the earlier in the schedule is first."""
     place = fresh(order, "place")
     rows = ranked(durable(order), ["slot", "begins", "doc_id"], place).withColumn("lane", F.floor(F.col("slot") / max(1, window // block)).cast("long"))
     return sweep(cut(rows, F.col("n_tokens"), capacity).withColumn("place", F.col(place)), capacity)
+
+
+def pack_rows(docs: DataFrame, capacity: int = CAPACITY, window: int = LANE, block: int = BLOCK) -> DataFrame:
+    """As ``pack_in_order``, with the rows of ``docs`` in the order in which they are stored as the schedule: a slot is ``block`` tokens of them."""
+    at = {f"at{i}": c for i, c in enumerate(stored(docs))}
+    d = bounded(docs).select("doc_id", n_tokens("text").alias("n_tokens"), *[c.alias(name) for name, c in at.items()])
+    d = running(durable(d).where("n_tokens > 0"), [], list(at), F.col("n_tokens"), "begins")
+    return pack_in_order(d.select("doc_id", "n_tokens", F.floor(F.col("begins") / block).alias("slot"), "begins"), capacity, window, block)

@@ -981,6 +981,47 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert mixed.count() == len(order)
 
 
+def windows(rows):
+    """{window: documents} of (doc_id, tokens) in order."""
+    out, at = {}, 0
+    for i, n in rows:
+        out.setdefault(at // packing.LANE, set()).add(i)
+        at += n
+    return out
+
+
+def test_pipeline_packs_in_the_order_of_the_mix(spark, tmp_path):
+    """However the mix has ordered the rows, kept in partitions or in files, the windows of the bins go by that."""
+    import corpus_pipeline
+
+    def packed(d):
+        out = {}
+        for r in corpus_pipeline.pack(spark, d, str(tmp_path)).collect():
+            out.setdefault(r["bin"] >> 32, set()).add(r["doc_id"])
+        return out
+
+    rng = np.random.default_rng(31)
+    n = sorted(int(x) for x in rng.integers(1, 30_000, 600))  # so that later files are larger, which a scan takes first
+    rows = [(i, x, "ab"[i % 2]) for i, x in enumerate(n)] + [(600, 0, "a")]
+    want = windows((i, x) for i, x, _ in rows if x)
+    assert len(want) == 3
+
+    def ordered(rows):
+        d = spark.createDataFrame(rows, "doc_id long, n int, source string")
+        return d.select("doc_id", F.expr("repeat('w ', n)").alias("text"), F.lit("en").alias("lang"), "source", F.col("n").cast("long").alias("n_chars"))
+
+    assert packed(ordered(rows)) == want
+    assert packed(ordered(rows[::-1])) == windows((i, x) for i, x, _ in rows[::-1] if x) != want
+    ordered(rows).write.parquet(str(tmp_path / "rows"))
+    read = spark.read.parquet(str(tmp_path / "rows"))
+    assert packed(read) == packed(read.where("n_chars > 0").select("doc_id", "text")) == want
+    assert packed(read.orderBy(F.desc("doc_id"))) == packed(ordered(rows[::-1]))
+    mix = corpus_pipeline.mix_sources(spark, read, str(tmp_path))
+    mix.write.parquet(str(tmp_path / "mix"))
+    order = [(r["doc_id"], r["n_tokens"]) for r in mixing.schedule(read, whole=True).orderBy("slot", "begins", "doc_id").collect()]
+    assert packed(mix) == packed(spark.read.parquet(str(tmp_path / "mix"))) == windows(order) != want
+
+
 def test_pipeline_stages_take_odd_and_empty_rows(spark, odd, tmp_path):
     import corpus_pipeline
 
