@@ -89,3 +89,15 @@ def test_ids_of_one_value_are_listed_in_parts(spark):
     one = spark.range(1).select(F.struct(F.lit("v").alias("k")).alias("subject"), F.struct(F.lit("v").alias("k")).alias("staging"), F.lit(2).alias("x"))
     got = resolution.expand(one, df.where("id < 40"), df.where("id >= 40"), ["k"], most=7).collect()
     assert sorted((r["subject"], r["staging"]) for r in got) == [(a, b) for a in range(40) for b in range(40, 100)]
+
+
+def test_features_of_values(spark, parts):
+    """Features are taken for pairs of different values; the classifier sees each row pair all the same."""
+    f = entity_queries._features(spark, parts[0])
+    first = lambda v: v[0][:5]
+    assert f.count() == sum(first(a) == first(b) for a, b in itertools.product(ROWS, ROWS))
+    got = QUERIES["pair_features"](spark, parts[0]).collect()
+    sides = [[r for r in parts[1] if r[0] % 2 == x] for x in (0, 1)]
+    assert sorted(tuple(r) for r in got) == sorted((a[0], b[0], float(a[1] == b[1]), round(min(a[3], b[3]) / max(a[3], b[3]), 6), a[1:3] == b[1:3]) for a, b in itertools.product(*sides) if a[1][:5] == b[1][:5])
+    r = QUERIES["duplicate_classifier"](spark, parts[0]).first()
+    assert 0 < r["tp"] + r["fn"] < sum(x["correct"] for x in got)
