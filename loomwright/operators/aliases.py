@@ -204,12 +204,18 @@ def subclass_paths(edges: DataFrame, root, max_rounds: int = 64) -> DataFrame:
     """(node, path): the shortest path from every class below ``root`` to it, ties by the least path; each round joins the frontier once."""
     spark = edges.sparkSession
     kind = dict(edges.dtypes)["parent"]
-    frontier = spark.createDataFrame([(root, [root])], f"node {kind}, path array<{kind}>")
-    known = frontier
-    for _ in range(max_rounds):
-        step = edges.join(frontier.select(F.col("node").alias("parent"), "path"), "parent").select(F.col("child").alias("node"), F.concat("path", F.array("child")).alias("path"))
-        frontier = durable(step.groupBy("node").agg(F.min("path").alias("path")).join(known.select("node"), "node", "left_anti"))
-        if frontier.isEmpty():
-            return known
-        known = durable(known.unionByName(frontier))
+    # a checkpoint keeps what the optimiser has inferred of its columns, which each round would multiply
+    infer, before = "spark.sql.constraintPropagation.enabled", spark.conf.get("spark.sql.constraintPropagation.enabled")
+    spark.conf.set(infer, "false")
+    try:
+        edges = durable(edges.select("parent", "child").distinct())
+        known = frontier = durable(spark.createDataFrame([(root, [root])], f"node {kind}, path array<{kind}>"))
+        for _ in range(max_rounds):
+            step = edges.join(frontier.select(F.col("node").alias("parent"), "path"), "parent").select(F.col("child").alias("node"), F.concat("path", F.array("child")).alias("path"))
+            frontier = durable(step.groupBy("node").agg(F.min("path").alias("path")).join(known.select("node"), "node", "left_anti"))
+            if frontier.isEmpty():
+                return known
+            known = durable(known.unionByName(frontier))
+    finally:
+        spark.conf.set(infer, before)
     raise RuntimeError("the class tree is deeper than max_rounds")

@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from loomwright.operators import blocking, resolution
+from loomwright.operators import aliases, blocking, resolution
 from loomwright.plans import catalogue, entity_queries  # noqa: F401
 from loomwright.plans.catalogue import QUERIES
 
@@ -101,3 +101,15 @@ def test_features_of_values(spark, parts):
     assert sorted(tuple(r) for r in got) == sorted((a[0], b[0], float(a[1] == b[1]), round(min(a[3], b[3]) / max(a[3], b[3]), 6), a[1:3] == b[1:3]) for a, b in itertools.product(*sides) if a[1][:5] == b[1][:5])
     r = QUERIES["duplicate_classifier"](spark, parts[0]).first()
     assert 0 < r["tp"] + r["fn"] < sum(x["correct"] for x in got)
+
+
+def test_class_paths_keep_no_inferred_constraints(spark, monkeypatch):
+    kept, durable = [], aliases.durable
+    monkeypatch.setattr(aliases, "durable", lambda df: kept.append(durable(df)) or kept[-1])
+    before = spark.conf.get("spark.sql.constraintPropagation.enabled")
+    n = spark.range(1, 60).select(F.col("id").alias("child"))
+    edges = n.select("child", F.expr("child div 3").alias("parent")).union(n.select("child", F.expr("child div 4 + 1").alias("parent")).where("child <> parent"))
+    paths = aliases.subclass_paths(edges, 0)
+    assert {x._jdf.queryExecution().optimizedPlan().constraints().size() for x in kept} == {0}
+    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == before
+    assert {r["node"]: list(r["path"]) for r in paths.where("node in (0, 2, 9)").collect()} == {0: [0], 2: [0, 2], 9: [0, 1, 3, 9]}
