@@ -94,6 +94,12 @@ def _chunked(members: DataFrame, most: int, drop_undefined: bool = False, least:
     return members.join(by, ["tag", "key"])
 
 
+def _dealt(members: DataFrame, most: int) -> DataFrame:
+    """Members with ``mine``: the chunk of their side to which the order of their ids deals them."""
+    m = running(_chunked(members, most), ["tag", "key", "side"], ["id"], F.lit(1), "place")
+    return m.withColumn("mine", F.floor(F.col("place") / F.when(F.col("side") == "subject", F.col("a")).otherwise(F.col("b"))).cast("long"))
+
+
 def split(members: DataFrame, most: int) -> DataFrame:
     """(tag, key, part, side, id): parts of at most ``most`` comparisons.  Both sides of a block are dealt to chunks in the order of their ids, and each
     pair of chunks is a part, so that every comparison is in just one."""
@@ -101,9 +107,18 @@ def split(members: DataFrame, most: int) -> DataFrame:
     subject = F.col("side") == "subject"
     mine = F.floor(F.col("place") / F.when(subject, F.col("a")).otherwise(F.col("b"))).cast("long")
     other = F.sequence(F.lit(0).cast("long"), F.when(subject, F.col("cols")).otherwise(F.col("rows")) - 1)
-    m = m.withColumn("mine", mine).withColumn("other", F.explode(other))
+    m = _dealt(members, most).withColumn("other", F.explode(other))
     part = F.when(subject, F.col("mine") * F.col("cols") + F.col("other")).otherwise(F.col("other") * F.col("cols") + F.col("mine"))
     return m.select("tag", "key", part.alias("part"), "side", "id")
+def part_sizes(members: DataFrame, most: int) -> DataFrame:
+    """(tag, key, subject, staging, parts): how many of ``split``'s parts have how many members of either side, counted by chunks, as there are far
+    fewer of them than of parts."""
+    chunks = _dealt(members, most).groupBy("tag", "key", "side", "mine").agg(F.count(F.lit(1)).alias("n"))
+    by = chunks.groupBy("tag", "key", "side", "n").agg(F.count(F.lit(1)).alias("k"))
+    s, t = (by.where(F.col("side") == x).select("tag", "key", F.col("n").alias(x), F.col("k").alias(f"{x}_k")) for x in ("subject", "staging"))
+    return s.join(t, ["tag", "key"]).select("tag", "key", "subject", "staging", (F.col("subject_k") * F.col("staging_k")).alias("parts"))
+
+
 
 
 def with_blocks(df: DataFrame, schemes: dict[str, Column]) -> DataFrame:
