@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import blocking
+
 
 def find_relations(entities: DataFrame, known: DataFrame) -> DataFrame:
     """(src, property, dst, name): property values of (id, properties) that are ids of ``known`` (id, name)."""
@@ -53,6 +55,15 @@ def import_relations(relations: DataFrame, subjects: DataFrame) -> DataFrame:
     return relations.join(a, "subject").join(b, "object").select("src", "dst", "relation").distinct()
 
 
+def relations_within(members: DataFrame, subjects: DataFrame) -> DataFrame:
+    """What ``import_relations`` gives where, of the members (name, at, relation) with one relation, each is related to those that come after it: names
+    are found once for each member, not for each pair, and as a pair is one of a first and a last place, each is given once."""
+    m = members.join(subjects.select("id", "name"), "name")
+    first = m.groupBy(F.col("id").alias("src"), "relation").agg(F.min("at").alias("first"))
+    last = m.groupBy(F.col("id").alias("dst"), "relation").agg(F.max("at").alias("last"))
+    return blocking.group_pairs(first, last, ["relation"]).where("first < last").select("src", "dst", "relation")
+
+
 def add_relations(subjects: DataFrame, edges: DataFrame) -> DataFrame:
     """``relations`` map<dst, map<relation, value>> of (id, relations) with (src, dst, relation) added."""
     m = edges.groupBy("src", "dst").agg(F.map_from_entries(F.collect_set(F.struct("relation", F.lit("").alias("v")))).alias("m")).groupBy("src").agg(F.map_from_entries(F.collect_list(F.struct("dst", "m"))).alias("new"))
