@@ -103,13 +103,13 @@ def _dealt(members: DataFrame, most: int) -> DataFrame:
 def split(members: DataFrame, most: int) -> DataFrame:
     """(tag, key, part, side, id): parts of at most ``most`` comparisons.  Both sides of a block are dealt to chunks in the order of their ids, and each
     pair of chunks is a part, so that every comparison is in just one."""
-    m = running(_chunked(members, most), ["tag", "key", "side"], ["id"], F.lit(1), "place")
     subject = F.col("side") == "subject"
-    mine = F.floor(F.col("place") / F.when(subject, F.col("a")).otherwise(F.col("b"))).cast("long")
     other = F.sequence(F.lit(0).cast("long"), F.when(subject, F.col("cols")).otherwise(F.col("rows")) - 1)
     m = _dealt(members, most).withColumn("other", F.explode(other))
     part = F.when(subject, F.col("mine") * F.col("cols") + F.col("other")).otherwise(F.col("other") * F.col("cols") + F.col("mine"))
     return m.select("tag", "key", part.alias("part"), "side", "id")
+
+
 def part_sizes(members: DataFrame, most: int) -> DataFrame:
     """(tag, key, subject, staging, parts): how many of ``split``'s parts have how many members of either side, counted by chunks, as there are far
     fewer of them than of parts."""
@@ -119,8 +119,6 @@ def part_sizes(members: DataFrame, most: int) -> DataFrame:
     return s.join(t, ["tag", "key"]).select("tag", "key", "subject", "staging", (F.col("subject_k") * F.col("staging_k")).alias("parts"))
 
 
-
-
 def with_blocks(df: DataFrame, schemes: dict[str, Column]) -> DataFrame:
     """``df`` with ``blocks``: an array of the (tag, key) of its schemes in their order, defined ones only."""
     def tagged(tag: str, keys: Column) -> Column:
@@ -174,11 +172,13 @@ def pairs(members: DataFrame, kept: DataFrame) -> DataFrame:
 
 def statistics(block_sizes: DataFrame, found: DataFrame, gold: DataFrame) -> DataFrame:
     """(tag, blocks, comparisons, found, gold, completeness, precision) of each scheme and of all; ``found`` has (tag, subject, staging), the pairs
-    that each scheme puts in one block, ``gold`` (subject, staging).  Precision is found gold pairs over comparisons, 0 without any."""
-    g = gold.select("subject", "staging").distinct()
-    hits = found.join(g, ["subject", "staging"], "left_semi").select("tag", "subject", "staging").distinct()
-    both = hits.groupBy("tag").agg(F.count(F.lit(1)).alias("found")).unionByName(hits.select("subject", "staging").distinct().agg(F.count(F.lit(1)).alias("found")).withColumn("tag", F.lit("combined")))
-    out = scheme_totals(block_sizes).join(both, "tag", "left").crossJoin(F.broadcast(g.agg(F.count(F.lit(1)).alias("gold"))))  # one row
+    that each scheme puts in one block, ``gold`` (subject, staging), and ``n`` where a row stands for so many pairs.  Precision is found gold pairs over
+    comparisons, 0 without any."""
+    g = gold.select("subject", "staging", F.col("n") if "n" in gold.columns else F.lit(1).cast("long").alias("n")).distinct()
+    hits = found.select("tag", "subject", "staging").distinct().join(g, ["subject", "staging"])
+    once = hits.select("subject", "staging", "n").distinct()
+    both = hits.groupBy("tag").agg(F.sum("n").alias("found")).unionByName(once.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("found")).withColumn("tag", F.lit("combined")))
+    out = scheme_totals(block_sizes).join(both, "tag", "left").crossJoin(F.broadcast(g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("gold"))))  # one row
     n = F.coalesce("found", F.lit(0))
     return out.select("tag", "blocks", "comparisons", n.alias("found"), "gold", F.when(F.col("gold") > 0, F.round(n / F.col("gold"), 6)).otherwise(0.0).alias("completeness"), F.when(F.col("comparisons") > 0, F.round(n / F.col("comparisons"), 6)).otherwise(0.0).alias("precision"))
 

@@ -5,7 +5,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
-from loomwright.operators import aliases, blocking, resolution
+from loomwright.operators import aliases, blocking, knowledge, resolution
 from loomwright.plans import catalogue, entity_queries  # noqa: F401
 from loomwright.plans.catalogue import QUERIES
 
@@ -113,3 +113,55 @@ def test_class_paths_keep_no_inferred_constraints(spark, monkeypatch):
     assert {x._jdf.queryExecution().optimizedPlan().constraints().size() for x in kept} == {0}
     assert spark.conf.get("spark.sql.constraintPropagation.enabled") == before
     assert {r["node"]: list(r["path"]) for r in paths.where("node in (0, 2, 9)").collect()} == {0: [0], 2: [0, 2], 9: [0, 1, 3, 9]}
+
+
+def test_part_sizes_are_those_of_split(spark):
+    rows = [("t", k, side, i) for k, n, m in (("a", 23, 9), ("b", 1, 50), ("c", 5, 5), ("d", 3, 0)) for side, count in (("subject", n), ("staging", m)) for i in range(count)]
+    m = spark.createDataFrame(rows, "tag string, key string, side string, id long")
+    for most in (1, 7, 40):
+        parts = blocking.split(m, most).groupBy("key", "part").agg(*[F.count_if(F.col("side") == x).alias(x) for x in ("subject", "staging")])
+        want = {(r["key"], r["subject"], r["staging"]): r["count"] for r in parts.groupBy("key", "subject", "staging").count().collect()}
+        assert {(r["key"], r["subject"], r["staging"]): r["parts"] for r in blocking.part_sizes(m, most).collect()} == want
+
+
+def test_block_split_makes_no_row_of_a_part(spark, tmp_path):
+    """2,000 x 1,000 members of one block are some 50,000 parts, of which only sizes are counted."""
+    spark.range(2000).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(1000).select(F.col("id").alias("s_suppkey"), F.lit(1).alias("s_nationkey")).write.parquet(f"{tmp_path}/supplier.parquet")
+    df = QUERIES["block_split"](spark, str(tmp_path))
+    assert [tuple(r) for r in df.collect()] == [("1", 2_000_000, True, True)]
+    assert "explode" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_gold_pairs_of_several_keys_come_once(spark):
+    left = spark.createDataFrame([(1, "x", 1), (1, "y", 2), (2, "x", 3), (3, None, 4)], "id int, k string, n int")
+    right = spark.createDataFrame([(7, "x", 1), (8, "y", 3), (9, None, None), (7, "y", 9), (10, "undefined", 4)], "id int, k string, n long")
+    got = resolution.gold_standard(left, right, ["k", "n"])
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 7), (1, 8), (2, 7), (2, 8), (3, 10)]
+    assert "Aggregate [subject" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pairs_of_one_group_take_many_tasks(spark):
+    df = spark.range(2000).select(F.col("id").alias("a"), F.lit(1).alias("g"))
+    p = blocking.group_pairs(df, df.withColumnRenamed("a", "b"), ["g"], 1 << 16).where("a < b")
+    per_task = [r["count"] for r in p.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 2000 * 1999 // 2 and len(per_task) >= 4 and max(per_task) < sum(per_task) / 2
+
+
+def test_relations_within_are_imported_relations(spark):
+    rows = [("a", 1, "x"), ("b", 2, "x"), ("a", 3, "x"), ("c", 4, "y"), ("d", 5, "y"), ("gone", 6, "y")]
+    m = spark.createDataFrame(rows, "name string, at int, relation string")
+    names = spark.createDataFrame([(10, "a"), (11, "a"), (20, "b"), (30, "c"), (40, "d")], "id int, name string")
+    pairs = m.alias("l").join(m.alias("r"), F.expr("l.relation = r.relation and l.at < r.at")).selectExpr("l.name as subject", "r.name as object", "l.relation as relation")
+    want = sorted(tuple(r) for r in knowledge.import_relations(pairs, names).collect())
+    got = knowledge.relations_within(m, names)
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 4
+
+
+def test_block_statistics_count_pairs_of_values(spark, parts):
+    d, rows = parts
+    gold = [(a, b) for a, b in itertools.product(rows, rows) if a[0] % 2 == 0 and b[0] % 2 and (a[1], a[3]) == (b[1], b[3])]
+    got = {r["tag"]: (r["found"], r["gold"]) for r in QUERIES["block_statistics"](spark, d).collect()}
+    assert got == {"simple": (len(gold), len(gold)), "combined": (len(gold), len(gold)), "brand": (sum(a[2] == b[2] for a, b in gold), len(gold))}
+    a, b = catalogue._values(spark, d)
+    assert catalogue._gold_values(a, b, "name", "size").count() * 36 == len(gold)
