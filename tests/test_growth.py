@@ -1,11 +1,14 @@
 """What work queries do where rows repeat: pairs are found for different values, not for all rows, and in many tasks."""
 
 import itertools
+import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from loomwright.operators import aliases, blocking, knowledge, resolution
+from loomwright.operators import aliases, blocking, knowledge, resolution, text
 from loomwright.plans import catalogue, entity_queries  # noqa: F401
 from loomwright.plans.catalogue import QUERIES
 
@@ -165,3 +168,22 @@ def test_block_statistics_count_pairs_of_values(spark, parts):
     assert got == {"simple": (len(gold), len(gold)), "combined": (len(gold), len(gold)), "brand": (sum(a[2] == b[2] for a, b in gold), len(gold))}
     a, b = catalogue._values(spark, d)
     assert catalogue._gold_values(a, b, "name", "size").count() * 36 == len(gold)
+
+
+def test_cosine_of_blocks(spark):
+    """Blocks of any size give the same pairs, and candidates are hardly more than results where all documents share a rare term."""
+    rng = random.Random(5)
+    base = {i: [f"w{rng.randrange(400)}" for _ in range(20)] for i in range(40)}
+    docs = {i: base[i % 40][: 20 - i % 5] + [f"own{i}", f"both{i % 40}"] for i in range(160)}
+    rows = [(i, t, float(n * (1 + len(t)))) for i, x in docs.items() for t, n in Counter(x).items()]
+    tfidf = spark.createDataFrame(rows, "doc_id long, term string, tfidf double")
+    w = {i: {t: x for j, t, x in rows if j == i} for i in docs}
+    norm = {i: math.sqrt(sum(x * x for x in v.values())) for i, v in w.items()}
+    cosine = {(a, b): sum(x * w[b].get(t, 0) for t, x in w[a].items()) / (norm[a] * norm[b]) for a, b in itertools.combinations(docs, 2)}
+    want = {p: c for p, c in cosine.items() if c >= 0.8}
+    for block in (1 << 12, 30):
+        got = {(r["a"], r["b"]): r["cosine"] for r in text.cosine_search(tfidf, block=block).collect()}
+        assert got.keys() == want.keys() and all(abs(got[p] - c) < 1e-9 for p, c in want.items())
+    assert 50 < len(want) < len(cosine) / 4
+    plan = text.cosine_search(tfidf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "term" not in plan  # no pairs of documents and terms
