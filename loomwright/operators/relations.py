@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
+
 
 def entity_lists(rows: DataFrame, sentence: str, entity: str) -> DataFrame:
     """(sentence, entities): the different entities of each sentence, sorted; sentences with one are dropped."""
@@ -27,10 +29,15 @@ def cooccurrences(lists: DataFrame) -> DataFrame:
     return lists.groupBy("entities").agg(F.count(F.lit(1)).alias("n"))
 
 
-def pair_counts(lists: DataFrame) -> DataFrame:
-    """(a, b, n) for a before b in the list."""
+def pair_counts(lists: DataFrame, most: int = 1 << 21) -> DataFrame:
+    """(a, b, n) for a before b in the list, counted in as many parts as keep each at about ``most`` pairs."""
+    lists = durable(lists.select("entities"))
+    size = F.size("entities").cast("double")
+    total = lists.agg(F.sum(size * (size - 1) / 2)).first()[0] or 0
     a = lists.select("entities", F.posexplode("entities").alias("i", "a"))
-    return a.select("a", F.explode(F.slice("entities", F.col("i") + 2, F.size("entities"))).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    pairs = a.select("a", F.explode(F.slice("entities", F.col("i") + 2, F.size("entities"))).alias("b"))
+    pairs = pairs.repartition(min(1 << 13, int(total / most) + 1), "a", "b") if total > most else pairs
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 def relation_examples(sentences: DataFrame, relations: DataFrame, least: int = 2) -> DataFrame:
