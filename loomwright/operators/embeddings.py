@@ -29,8 +29,10 @@ def element_sum(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 def sentence_embeddings(tokens: DataFrame, vectors: DataFrame, weights: DataFrame) -> DataFrame:
     """(id, embedding) from (id, word): the weighted sum of the known words' vectors; sentences without one are dropped."""
-    j = tokens.join(vectors, "word").join(weights, "word", "left").withColumn("w", F.coalesce("weight", F.lit(1.0)))
-    return element_sum(j.select("id", F.transform("vector", lambda x: x).alias("v"), "w").select("id", F.expr("transform(v, x -> x * w)").alias("v")), "id", "v")
+    known = vectors.join(weights, "word", "left").withColumn("w", F.coalesce("weight", F.lit(1.0)))
+    known = known.select("word", F.expr("transform(vector, x -> x * w)").alias("v"))
+    # vectors are weighted once for each word, so that the tokens are joined once
+    return element_sum(tokens.join(known, "word").select("id", "v"), "id", "v")
 
 
 def gram_matrix(rows: DataFrame, vector: str) -> np.ndarray:
