@@ -8,7 +8,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from loomwright.operators import aliases, blocking, knowledge, resolution, text
+from loomwright.functions import stem
+from loomwright.operators import aliases, blocking, knowledge, relations, resolution, text
 from loomwright.plans import catalogue, entity_queries  # noqa: F401
 from loomwright.plans.catalogue import QUERIES
 
@@ -187,3 +188,17 @@ def test_cosine_of_blocks(spark):
     assert 50 < len(want) < len(cosine) / 4
     plan = text.cosine_search(tfidf)._jdf.queryExecution().optimizedPlan().toString()
     assert "term" not in plan  # no pairs of documents and terms
+
+
+def test_stems_of_few_rows_at_a_time(spark):
+    rows = [(i, None if i % 7 == 3 else [f"Häuser{'n' * (i % 3)}", None, "lief"][: i % 4]) for i in range(50)]
+    df = spark.createDataFrame(rows, "i int, t array<string>").coalesce(1)
+    want = {i: None if t is None else [None if x is None else stem.stem(x) for x in t] for i, t in rows}
+    for step in (1, 8, 64):
+        assert {r["i"]: r["s"] for r in df.select("i", stem.stems(F.col("t"), step).alias("s")).collect()} == want
+
+
+def test_pair_counts_in_parts(spark):
+    lists = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "c"]), (3, ["a"])], "s int, entities array<string>")
+    for most in (1, 1 << 21):
+        assert sorted(tuple(r) for r in relations.pair_counts(lists, most).collect()) == [("a", "b", 1), ("a", "c", 2), ("b", "c", 1)]
